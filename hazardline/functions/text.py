@@ -88,7 +88,7 @@ def capitalize_words(x: Column | str) -> Column:
 
 def sort_unique_values(x: Column | str) -> Column:
     """Distinct trimmed list items in binary order."""
-    return F.array_join(F.array_sort(F.array_distinct(F.transform(split_list(x), F.trim))), LIST_SEPARATOR)
+    return F.array_join(F.array_sort(F.array_distinct(F.transform(split_list(x), lambda w: F.trim(w)))), LIST_SEPARATOR)
 
 
 def unite(columns: Sequence[str | Column], sep: str = LIST_SEPARATOR) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardline.operators.contracts import keep_numeric_ids
-from hazardline.operators.scans import fill_down, fill_up, first_per_key, ordered_scan
+from hazardline.operators.scans import fill_down, fill_up, first_per_key, ordered_scan, position
 
 # --- fixed values -----------------------------------------------------------------------------
 THERAPY = "medical_treatment"
@@ -83,3 +83,8 @@ def first_after_fill(df: DataFrame, key: str, value: str, order: Sequence[str])
     """
     ranked = F.struct(*[x for o in order for x in (F.col(o).isNull(), F.col(o))])
     return df.groupBy(key).agg(F.min_by(value, F.when(F.col(value).isNotNull(), ranked)).alias(value))
+
+
+def rank_ids(df: DataFrame, id_column: str = "record_id", name: str = "pat_id", **scan) -> DataFrame:
+    """A dense rank of the ids: 1, 2, 3 … in id order. Works on the distinct ids, cut when many."""
+    return ordered_scan(df.select(id_column).distinct(), [], [id_column], {name: position()}, **scan)

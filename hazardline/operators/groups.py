@@ -108,7 +108,7 @@ def line_union_text(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     items = df.select(
         *keys,
         F.posexplode_outer(F.array(*[F.col(c).cast("string") for c in columns])).alias("_which", "_list"),
-    ).select(*keys, "_which", F.explode_outer(F.transform(split_list("_list"), F.trim)).alias("_item"))
+    ).select(*keys, "_which", F.explode_outer(F.transform(split_list("_list"), lambda w: F.trim(w))).alias("_item"))
     distinct = items.groupBy(*keys, "_which", "_item").agg(F.lit(1).alias("_"))
     return distinct.groupBy(*keys).agg(
         *[
@@ -158,4 +158,4 @@ def arm_counts(df: DataFrame, arm: str, event: str) -> DataFrame:
 
 def vocabulary(df: DataFrame, column: str) -> DataFrame:
     """Distinct list items of a column."""
-    return df.select(F.explode(F.transform(split_list(column), F.trim)).alias("item")).distinct()
+    return df.select(F.explode(F.transform(split_list(column), lambda w: F.trim(w))).alias("item")).distinct()

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardline.functions.dates import DAYS, base_name, parse_imputed_date, time_between
-from hazardline.operators.groups import attach, flag_at_extreme, last_non_null, order_struct
-from hazardline.operators.scans import following, ordered_scan
+from hazardline.operators.groups import flag_at_extreme, last_non_null, order_struct
+from hazardline.operators.scans import following, hot_keys, key_max, ordered_scan
 
 # --- fixed values -----------------------------------------------------------------------------
 LINE_DATES = [
@@ -49,7 +49,7 @@ def parse_line_dates(df: DataFrame) -> DataFrame:
 def collapse_lines(
     df: DataFrame, order_col: str = "therapy_start_date_15", tie: Sequence[str] = ("cycle",)
 ) -> DataFrame:
-    """One row per ``record_id`` and ``treat_line``, with the line counts of the patient.
+    """One row per ``record_id`` and ``treat_line``.
 
     Dates take the group minimum, or maximum for status, end and last-progression dates. Four text
     columns take the last non-null value, ``_imputed_day`` flags follow the date they describe, and
@@ -76,9 +76,13 @@ def collapse_lines(
     if rest:
         aggs.append(F.min_by(F.struct(*rest), order).alias("_first"))
     grouped = df.groupBy(*keys).agg(*aggs)
-    lines = grouped.select(*[F.col("_first")[c].alias(c) if c in rest else F.col(c) for c in df.columns])
-    top = lines.groupBy("record_id").agg(F.max("treat_line").alias("max_treat_line_num"))
-    return attach(lines, ["record_id"], top).withColumn(
+    return grouped.select(*[F.col("_first")[c].alias(c) if c in rest else F.col(c) for c in df.columns])
+
+
+def last_line(lines: DataFrame, **scan) -> DataFrame:
+    """``max_treat_line_num`` of the patient and ``is_last_line``."""
+    top = ordered_scan(lines, ["record_id"], ["treat_line"], {"max_treat_line_num": key_max("treat_line")}, **scan)
+    return top.withColumn(
         "is_last_line",
         F.col("max_treat_line_num").isNotNull() & (F.col("treat_line") == F.col("max_treat_line_num")),
     )
@@ -173,8 +177,12 @@ def density_times(lines: DataFrame) -> DataFrame:
 
 def calc_pfs_os(df: DataFrame, tie: Sequence[str] = ("cycle",), **scan) -> DataFrame:
     """Records to lines with every survival time."""
-    lines = collapse_lines(parse_line_dates(df), tie=tie)
-    lines = os_line(pfs_line(progression_events(lines, **scan)))
+    # kept, because the ordered passes over the lines first measure the largest patient, once for both
+    lines = collapse_lines(parse_line_dates(df), tie=tie).persist()
+    if not scan:
+        found = hot_keys(lines, ["record_id"])
+        scan = {"bounded": True} if found is None else {"hot": found}
+    lines = os_line(pfs_line(progression_events(last_line(lines, **scan), **scan)))
     if all(c in lines.columns for c in (*DENSITY_DATES, "status_date_15")):
         lines = density_times(lines)
     return lines

@@ -65,6 +65,11 @@ def running_product(column: str) -> Step:
     return Step("prod", column)
 
 
+def key_max(column: str) -> Step:
+    """The greatest value of the key, on every row."""
+    return Step("max", column)
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], floor: int = FLOOR, share: float = SHARE) -> DataFrame | None:
     """Keys too large for one window group, or None. At most ``1/share`` rows."""
     if not keys:
@@ -95,7 +100,7 @@ def _order_key(order: Sequence[str]) -> Column:
     return F.struct(*[c for o in order for c in (F.col(o).isNull(), F.col(o))])
 
 
-def _windowed(step: Step, up, down) -> Column:
+def _windowed(step: Step, up, down, whole) -> Column:
     before = up.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     c = step.column
@@ -104,10 +109,11 @@ def _windowed(step: Step, up, down) -> Column:
         "up": lambda: F.last(c, ignorenulls=True).over(after),
         "next": lambda: F.lead(c).over(up),
         "prev": lambda: F.lag(c).over(up),
-        "rank": lambda: F.row_number().over(up),
+        "rank": lambda: F.row_number().over(up).cast("long"),
         "run": lambda: F.sum(c).over(before),
         "rest": lambda: F.sum(c).over(after),
         "prod": lambda: F.product(c).over(before),
+        "max": lambda: F.max(c).over(whole),
     }[step.kind]()
 
 
@@ -121,22 +127,24 @@ def ordered_scan(
     share: float = SHARE,
     segments: int = SEGMENTS,
     bounded: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add one column per entry of ``outputs``, computed per key in ``order`` (ascending, nulls last).
 
     ``order`` must be total within a key; its first column should have many distinct values, as
     hot keys are cut along it. ``bounded=True`` states that every key is known to stay small and
-    skips the size check.
+    skips the size check; ``hot`` hands over the result of an earlier :func:`hot_keys`.
     """
     keys = list(keys)
     if not keys:
         df, keys = df.withColumn("_all", F.lit(1)), ["_all"]
-    hot = None if bounded else hot_keys(df, keys, floor, share)
+    if hot is None and not bounded:
+        hot = hot_keys(df, keys, floor, share)
     asc = [F.col(o).asc_nulls_last() for o in order]
     desc = [F.col(o).desc_nulls_first() for o in order]
     if hot is None:
         w = Window.partitionBy(*keys)
-        out = df.withColumns({n: _windowed(s, w.orderBy(*asc), w.orderBy(*desc)) for n, s in outputs.items()})
+        out = df.withColumns({n: _windowed(s, w.orderBy(*asc), w.orderBy(*desc), w) for n, s in outputs.items()})
         return out.drop("_all")
 
     place = _place(df, order[0])
@@ -172,6 +180,8 @@ def ordered_scan(
             part[f"_p_{name}"] = F.count(F.lit(1))
         elif s.kind == "prod":
             part[f"_p_{name}"] = F.product(c)
+        elif s.kind == "max":
+            part[f"_p_{name}"] = F.max(c)
         else:
             part[f"_p_{name}"] = F.sum(c)
     parts = (
@@ -193,6 +203,7 @@ def ordered_scan(
             "run": lambda: F.sum(p).over(earlier),
             "rest": lambda: F.sum(p).over(later),
             "prod": lambda: F.product(p).over(earlier),
+            "max": lambda: F.max(p).over(wk),
         }[s.kind]()
     carries = parts.select(*keys, "_seg", *[e.alias(n) for n, e in carry.items()])
     joined = cut.drop("_cuts").join(F.broadcast(carries), [*keys, "_seg"], "left")
@@ -200,15 +211,17 @@ def ordered_scan(
     up, down = w.orderBy(*asc), w.orderBy(*desc)
     result: dict[str, Column] = {}
     for name, s in outputs.items():
-        local, c = _windowed(s, up, down), F.col(f"_c_{name}")
-        if s.kind in ("down", "up"):
+        local, c = _windowed(s, up, down, w), F.col(f"_c_{name}")
+        if s.kind == "max":
+            result[name] = F.coalesce(c, local)
+        elif s.kind in ("down", "up"):
             result[name] = F.coalesce(local, c)
         elif s.kind == "next":
             result[name] = F.when(F.lead(F.lit(1)).over(up).isNull(), c["v"]).otherwise(local)
         elif s.kind == "prev":
             result[name] = F.when(F.lag(F.lit(1)).over(up).isNull(), c["v"]).otherwise(local)
         elif s.kind == "rank":
-            result[name] = (local + F.coalesce(c, F.lit(0))).cast("int")
+            result[name] = local + F.coalesce(c, F.lit(0))
         elif s.kind == "prod":
             result[name] = F.coalesce(local, F.lit(1.0)) * F.coalesce(c, F.lit(1.0))
         else:

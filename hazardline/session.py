@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -22,10 +23,9 @@ def local_session(cores: int | str = 8, app: str = "hazardline", shuffle_partiti
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named in ``spark.checkpoint.dir``; set one only when nothing is set."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="hazardline-ckpt-"))
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under ``spark.checkpoint.dir``, which every executor sees; only where that is
+    unset, as in tests, under the local temporary folder.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    return f"{root.rstrip('/')}/hazardline-{name}-{uuid.uuid4().hex}"
