@@ -145,8 +145,9 @@ def cumulative(density: DataFrame) -> DataFrame:
 
 
 def uniform(keys: Sequence[str], seed: int) -> Column:
-    """A number in [0, 1) fixed by the keys and the seed."""
-    return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    """A number in [0, 1) fixed by the keys and the seed: 52 bits of a digest, so any engine can repeat it."""
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def impute_dates_empirical(
@@ -214,7 +215,7 @@ def impute_dates_empirical(
         {
             "_i": F.greatest(F.ceil(lo_lag * F.lit(per_day)).cast("int"), F.lit(0)),
             "_j": F.least(F.floor(hi_lag * F.lit(per_day)).cast("int"), F.lit(GRID - 1)),
-            "_u": uniform(seed_keys, seed),
+            "_u": F.when(F.col("_case").isNotNull(), uniform(seed_keys, seed)),
         }
     )
     # five rows of 2049 doubles
