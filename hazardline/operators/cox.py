@@ -114,22 +114,34 @@ def _linear(beta: np.ndarray, xs: Sequence[Column]) -> Column:
     return _total([F.lit(float(b)) * x for b, x in zip(beta, xs)])
 
 
+def _number(x: float) -> str:
+    if not math.isfinite(x):
+        raise ValueError("the model does not converge")
+    return f"({float(x)!r}D)"
+
+
+def _moment_sql(weight: str, p: int, prefix: str) -> dict[str, str]:
+    """As :func:`_moments`, in SQL text: a step has hundreds of expressions, and text builds fastest."""
+    out = {f"{prefix}0": weight} | {f"{prefix}1_{k}": f"{weight} * x{k}" for k in range(p)}
+    return out | {f"{prefix}2_{j}_{k}": f"{weight} * x{j} * x{k}" for j, k in _pairs(p)}
+
+
 def _risk_sums(design: DataFrame, beta: np.ndarray, p: int, scan: dict) -> DataFrame:
     """One row per event time: risk-set moments ``s*``, moments over the deaths ``d*``, death counts
     and covariate sums. Plain case: covariates fixed in time.
     """
-    xs = [F.col(f"x{k}") for k in range(p)]
-    xb = _linear(beta, xs)
-    e = F.exp(xb) * F.col("w")
-    dead = F.col("event") == 1
-    sums = _moments(e, xs, "s") | _moments(F.when(dead, e).otherwise(0.0), xs, "d")
-    lived = F.when(dead, F.col("w")).otherwise(0.0)
-    sums |= {"deaths": F.sum(lived), "dxb": F.sum(lived * xb)}
-    sums |= {f"dx{k}": F.sum(lived * x) for k, x in enumerate(xs)}
-    per_time = design.groupBy("time").agg(*[c.alias(n) for n, c in sums.items()])
-    suffix = {n: remaining_sum(n) for n in sums if n.startswith("s")}
-    risk = ordered_scan(per_time, [], ["time"], {f"r_{n}": s for n, s in suffix.items()}, **scan)
-    return risk.drop(*suffix).withColumnsRenamed({f"r_{n}": n for n in suffix}).where("deaths > 0")
+    xb = " + ".join(f"{_number(v)} * x{k}" for k, v in enumerate(beta)) or "0D"
+    rows = design.selectExpr("*", f"{xb} AS xb").selectExpr(
+        "*", "exp(xb) * w AS e", "CASE WHEN event = 1 THEN exp(xb) * w ELSE 0D END AS f", "CASE WHEN event = 1 THEN w ELSE 0D END AS l"
+    )
+    risk_set = _moment_sql("e", p, "s")
+    at_time = _moment_sql("f", p, "d") | {"deaths": "l", "dxb": "l * xb"} | {f"dx{k}": f"l * x{k}" for k in range(p)}
+    per_time = rows.groupBy("time").agg(*[F.expr(f"sum({e}) AS {n}") for n, e in (risk_set | at_time).items()])
+    if scan.get("bounded"):
+        suffix = [f"sum({n}) OVER (ORDER BY time DESC) AS {n}" for n in risk_set]
+        return per_time.selectExpr("time", *at_time, *suffix).where("deaths > 0")
+    risk = ordered_scan(per_time, [], ["time"], {f"r_{n}": remaining_sum(n) for n in risk_set}, **scan)
+    return risk.selectExpr("time", *at_time, *[f"r_{n} AS {n}" for n in risk_set]).where("deaths > 0")
 
 
 def _tie_sum(s0: Column, d0: Column, deaths: Column, first: Column, last: Column) -> Column:
@@ -161,7 +173,7 @@ def _with_ties(risk: DataFrame, heavy: bool) -> DataFrame:
     last = (d - 1).cast("long")
     if not heavy:
         out = risk.withColumn("_t", _tie_sum(s0, d0, d, F.lit(0).cast("long"), last))
-        return out.select(*risk.columns, *[F.col("_t")[n].alias(n) for n in TIE_SUMS])
+        return out.selectExpr(*risk.columns, *[f"_t.{n} AS {n}" for n in TIE_SUMS])
     starts = F.sequence(F.lit(0).cast("long"), last, F.lit(TIE_CHUNK).cast("long"))
     chunks = risk.select("time", "s0", "d0", "deaths", F.explode(starts).alias("_from")).repartition("time", "_from")
     end = F.least(F.col("_from") + TIE_CHUNK - 1, last)
@@ -171,20 +183,12 @@ def _with_ties(risk: DataFrame, heavy: bool) -> DataFrame:
 
 def _newton_row(risk: DataFrame, p: int, heavy: bool) -> dict:
     """Log-likelihood, score and information as one row."""
-    t = _with_ties(risk, heavy)
-    a1, a2, b0, b1, b2 = (F.col(c) for c in ("a1", "a2", "b0", "b1", "b2"))
-    aggs = [F.sum(F.col("dxb") - F.col("tl")).alias("ll"), F.sum("deaths").alias("events")]
-    for k in range(p):
-        aggs.append(F.sum(F.col(f"dx{k}") - F.col(f"s1_{k}") * a1 + F.col(f"d1_{k}") * a2).alias(f"u{k}"))
+    aggs = ["sum(dxb - tl) AS ll", "sum(deaths) AS events"]
+    aggs += [f"sum(dx{k} - s1_{k} * a1 + d1_{k} * a2) AS u{k}" for k in range(p)]
     for j, k in _pairs(p):
-        sj, sk, dj, dk = F.col(f"s1_{j}"), F.col(f"s1_{k}"), F.col(f"d1_{j}"), F.col(f"d1_{k}")
-        info = (
-            F.col(f"s2_{j}_{k}") * a1
-            - F.col(f"d2_{j}_{k}") * a2
-            - (sj * sk * b0 - (sj * dk + dj * sk) * b1 + dj * dk * b2)
-        )
-        aggs.append(F.sum(info).alias(f"i{j}_{k}"))
-    return t.agg(*aggs).first().asDict()
+        product = f"s1_{j} * s1_{k} * b0 - (s1_{j} * d1_{k} + d1_{j} * s1_{k}) * b1 + d1_{j} * d1_{k} * b2"
+        aggs.append(f"sum(s2_{j}_{k} * a1 - d2_{j}_{k} * a2 - ({product})) AS i{j}_{k}")
+    return _with_ties(risk, heavy).selectExpr(*aggs).first().asDict()
 
 
 def _unpack(row: dict, p: int) -> tuple[float, np.ndarray, np.ndarray]:

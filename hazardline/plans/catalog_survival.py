@@ -306,7 +306,7 @@ _AT = [1.0, 3.0, 6.0, 12.0, 24.0, 36.0]
 _BASE = f"""
 h AS (SELECT time, sum(1 / phi) AS h, sum(1 / (phi * phi)) AS v, sum(m0 / phi) AS q0, sum(m1 / phi) AS q1 FROM cx_{_LAST}m GROUP BY time),
 hc AS (SELECT tp, coalesce(sum(h) FILTER (WHERE time <= tp), 0) AS h, coalesce(sum(v) FILTER (WHERE time <= tp), 0) AS v,
-  coalesce(sum(q0) FILTER (WHERE time <= tp), 0) AS q0, coalesce(sum(q1) FILTER (WHERE time <= tp), 0) AS q1 FROM h, (SELECT unnest({_AT}) AS tp) GROUP BY tp),
+  coalesce(sum(q0) FILTER (WHERE time <= tp), 0) AS q0, coalesce(sum(q1) FILTER (WHERE time <= tp), 0) AS q1 FROM h, (SELECT CAST(unnest({_AT}) AS DOUBLE) AS tp) GROUP BY tp),
 pp AS (SELECT lv, tp, exp(-h * r) AS s, r, lv AS x0, x1, h, v, q0, q1 FROM (SELECT lv, x1, exp(b0 * lv + b1 * x1) AS r FROM cxd, cxb, (SELECT unnest([0, 1]) AS lv)), hc),
 ag AS (SELECT lv, tp, avg(s) AS s, greatest(avg(s * s) - avg(s) * avg(s), 0) / count(*) AS sp, avg(s * r) AS sr, avg(s * r * x0) AS sx0, avg(s * r * x1) AS sx1,
   any_value(h) AS h, any_value(v) AS v, any_value(q0) AS q0, any_value(q1) AS q1 FROM pp GROUP BY 1, 2),
