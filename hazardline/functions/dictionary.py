@@ -14,6 +14,7 @@ FIELD = "field_name"
 LABEL = "field_label"
 CHOICES = "choices_calculations_or_slider_labels"
 ALWAYS_MAPPED = {"nd": "Not done"}
+MAP_CODES = 100
 # ----------------------------------------------------------------------------------------------
 
 
@@ -43,17 +44,25 @@ def dictionary_codes(dd: DataFrame, order: str | None = None) -> DataFrame:
 def decode(df: DataFrame, dd: DataFrame, columns: str | Sequence[str], order: str | None = None) -> DataFrame:
     """Replace coded values by their labels; unmapped codes become null.
 
-    The dictionary is parsed once for all columns and joined map-side. A column without a choice
-    text is an error.
+    The dictionary is parsed once for all columns. Fields of at most ``MAP_CODES`` codes become map
+    literals, so decoding adds no join; longer lists are joined, map-side while they stay small. A
+    column without a choice text is an error.
     """
     columns = [columns] if isinstance(columns, str) else list(columns)
-    codes = dictionary_codes(dd.where(F.col(FIELD).isin(columns)), order)
-    known = {r[0] for r in codes.select(FIELD).distinct().limit(len(columns) + 1).collect()}
-    missing = [c for c in columns if c not in known]
+    codes = dictionary_codes(dd.where(F.col(FIELD).isin(columns)), order).persist()
+    sizes = {r[FIELD]: r["count"] for r in codes.groupBy(FIELD).count().collect()}  # at most one row per column
+    missing = [c for c in columns if c not in sizes]
     if missing:
         raise ValueError(f"no choice text for: {', '.join(missing)}")
-    out, names = df, df.columns
+    short = [c for c in columns if sizes[c] <= MAP_CODES]
+    maps: dict[str, list[Column]] = {c: [] for c in short}
+    for r in codes.where(F.col(FIELD).isin(short)).collect() if short else []:
+        maps[r[FIELD]] += [F.lit(r["code"]), F.lit(r["label"])]
+    out = df.withColumns({c: F.try_element_at(F.create_map(*pairs), F.col(c).cast("string")) for c, pairs in maps.items()})
+    names = df.columns
     for c in columns:
+        if c in maps:
+            continue
         lookup = codes.where(F.col(FIELD) == c).select(F.col("code").alias("_code"), F.col("label").alias("_label"))
         out = out.join(broadcast_small(lookup), F.col(c).cast("string") == F.col("_code"), "left").select(
             *[F.col("_label").alias(n) if n == c else F.col(n) for n in names]

@@ -77,26 +77,27 @@ def paste_without_null(value: Column | str, order: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(items), lambda x: x["v"]), LIST_SEPARATOR)
 
 
-def best_response(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], out: str) -> DataFrame:
-    """Per group: the best response found in the values.
+def best_response_parts(value: Column | str, order: Column) -> tuple[dict[str, Column], Column]:
+    """Aggregates and the final expression for the best response of a group.
 
     The first of CR, PR, SD, PD, NE contained in any value; else ``Unknown`` when any value
     contains Unknown or Not done; else the values joined in order (which may be empty). Known
-    responses are decided by maxima; only groups without any are joined as text.
+    responses are decided by a minimum; only values that hold none are joined as text.
     """
-    v = F.col(value)
+    v = _col(value)
     tests = [v.contains(r) for r in RESPONSE_ORDER] + [v.rlike("Unknown|Not done")]
     rank = None
     for i, t in enumerate(tests):
         rank = F.when(t, F.lit(i)) if rank is None else rank.when(t, F.lit(i))
-    unknown = F.when(rank.isNull(), v)
     labels = F.array(*[F.lit(r) for r in [*RESPONSE_ORDER, "Unknown"]])
-    grouped = df.groupBy(*keys).agg(
-        F.min(rank).alias("_best"), paste_without_null(unknown, order_struct(*order)).alias("_text")
-    )
-    return grouped.select(
-        *keys, F.when(F.col("_best").isNotNull(), F.get(labels, F.col("_best"))).otherwise(F.col("_text")).alias(out)
-    )
+    parts = {"_best": F.min(rank), "_text": paste_without_null(F.when(rank.isNull(), v), order)}
+    return parts, F.when(F.col("_best").isNotNull(), F.get(labels, F.col("_best"))).otherwise(F.col("_text"))
+
+
+def best_response(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], out: str) -> DataFrame:
+    """The best response per group."""
+    parts, final = best_response_parts(value, order_struct(*order))
+    return df.groupBy(*keys).agg(*[c.alias(n) for n, c in parts.items()]).select(*keys, final.alias(out))
 
 
 def line_union_text(df: DataFrame, keys: Sequence[str], columns: Sequence[str], suffix: str = "_line") -> DataFrame:

@@ -33,7 +33,7 @@ from hazardline.operators.groups import (
     YES_NO_NOT_DONE,
     any_present,
     attach,
-    best_response,
+    best_response_parts,
     line_union_text,
     paste_without_null,
     order_struct,
@@ -336,7 +336,7 @@ def progression_labels(
 ) -> DataFrame:
     """Line-level values repeated on every record of the line.
 
-    One aggregate per line, joined back: no window over the records. ``per_line_progression=False``
+    Aggregates per line, joined back once: no window over the records. ``per_line_progression=False``
     keeps the row's own progression flag instead of the line's.
     """
     keys = ["record_id", "treat_line"]
@@ -344,7 +344,9 @@ def progression_labels(
         "treat_y_n", recode(F.col("treat_y_n").cast("string"), {"1": "yes", "0": "no"})
     )
     by = order_struct(*order)
+    best, best_text = best_response_parts("treat_best_response", by)
     values = rows.groupBy(*keys).agg(
+        *[c.alias(n) for n, c in best.items()],
         F.when(F.max(F.when(F.col("treat_study") == 1, 1)) == 1, "yes")
         .when(F.max(F.when(F.col("treat_study") == 0, 1)) == 1, "no")
         .alias("treat_study_line"),
@@ -357,10 +359,11 @@ def progression_labels(
         priority_any(recode("treat_best_response_petct", {"ja": "yes", "nein": "no"}), YES_NO).alias("_petct"),
         priority_any("treat_rebiopsy", YES_NO_NOT_DONE).alias("treat_rebiopsy_line"),
     )
-    out = attach(rows, keys, values)
-    out = attach(out, keys, best_response(rows, keys, "treat_best_response", order, "treat_best_response_line"))
     union = ["drug_med_all", *[c for c in union_columns if c != "drug_med_all"]]
-    out = attach(out, keys, line_union_text(rows, keys, union))
+    values = attach(
+        values.withColumn("treat_best_response_line", best_text).drop(*best), keys, line_union_text(rows, keys, union)
+    )
+    out = attach(rows, keys, values)
     own = F.when(F.col("progression_type").isNotNull(), "yes").otherwise("no")
     return out.withColumns(
         {

@@ -120,9 +120,10 @@ def run_registry(
     diag = clean_patients(parts["base"], dd, ldh_rule)
     thx = clean_records(parts["thx"], dd)
     sv = survival_status(parts["sv"])
-    cohort = build_cohort(diag.drop("cycle"), thx, sv.drop("cycle"))
+    # kept where several later steps read the same rows: the joined records and the labelled records
+    cohort = build_cohort(diag.drop("cycle"), thx, sv.drop("cycle")).persist()
     union = [c for c in ("drug_med_comb", "treat_trans_type", "drug_car_type") if c in cohort.columns]
-    labelled = progression_labels(cohort, order=tie, union_columns=union)
+    labelled = progression_labels(cohort, order=tie, union_columns=union).persist()
     marks = max_treat_line(labelled).select("record_id", "cycle", "max_treat_line").distinct()
     imputed = impute_dates_empirical(
         labelled, seed=seed, max_delta=max_delta, use_groups=use_groups, order=("treat_line", *tie)

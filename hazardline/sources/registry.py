@@ -95,8 +95,8 @@ def snake_name(name: str) -> str:
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """The data dictionary; ``;`` or ``,`` by whichever is more common in the header."""
-    header = spark.read.text(path).limit(1).first()[0]
+    """The data dictionary; ``;`` or ``,`` by whichever is more common in the header, outside quotes."""
+    header = re.sub('"[^"]*"', "", spark.read.text(path).limit(1).first()[0])
     sep = ";" if header.count(";") > header.count(",") else ","
     dd = spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=True).csv(path)
     dd = dd.toDF(*[snake_name(c) for c in dd.columns])

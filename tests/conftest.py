@@ -15,9 +15,3 @@ def spark():
     yield session
     session.stop()
 
-
-@pytest.fixture(autouse=True)
-def _drop_cached(request):
-    yield
-    if "spark" in request.fixturenames:
-        request.getfixturevalue("spark").catalog.clearCache()

@@ -147,7 +147,7 @@ def test_small_text(spark):
     assert texts == ("1.12 (1.0–2.5)", "not reached", "1.5")
 
 
-def test_dictionary(spark):
+def test_dictionary(spark, monkeypatch):
     dd = spark.createDataFrame(
         [("q", "<b>Quest</b>", "1, Yes | 2, No, never"), ("q", "later", "1, Ja"), ("e", "none", None)],
         f"{dic.FIELD} string, {dic.LABEL} string, {dic.CHOICES} string",
@@ -155,6 +155,8 @@ def test_dictionary(spark):
     df = spark.createDataFrame([(1, "1"), (2, "2"), (3, "nd"), (4, "7"), (5, None)], "i int, q string")
     got = one(dic.decode(df, dd, "q", order="row").orderBy("i"), "q")
     assert [g[0] for g in got] == ["Yes", "No, never", "Not done", None, None]
+    monkeypatch.setattr(dic, "MAP_CODES", 1)  # the joined form
+    assert one(dic.decode(df, dd, "q", order="row").orderBy("i"), "q") == got
     with pytest.raises(ValueError):
         dic.decode(df.withColumn("e", F.lit("1")), dd, "e")
     labelled = dic.add_labels(df, dd.where(F.col(dic.LABEL) != "later"))
