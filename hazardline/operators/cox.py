@@ -26,6 +26,8 @@ TIE_CHUNK = 4096  # tied deaths summed in one row; more are spread over rows
 TIE_SUMS = ("tl", "a1", "a2", "b0", "b1", "b2")
 TT_LEVELS = 16  # up to this many values of a time-varying covariate get their own risk-set sums
 HR_POINTS = 200
+BAND_ROWS = 200_000  # rows aimed at per band of score or time
+MAX_CUTS = 500  # the grid of band counts stays under a million cells
 # ----------------------------------------------------------------------------------------------
 
 
@@ -307,7 +309,7 @@ def covariance(fit: CoxFit) -> DataFrame:
     return fit.spark.createDataFrame(rows, "term1 string, term2 string, covariance double")
 
 
-def concordance_counts(fit: CoxFit, cuts: int = 200) -> dict[str, float]:
+def concordance_counts(fit: CoxFit, cuts: int | None = None) -> dict[str, float]:
     """Concordant, discordant and tied pairs of risk score and time, exactly.
 
     A pair counts when the shorter time ends in an event (at equal times: event against censored).
@@ -327,6 +329,8 @@ def concordance_counts(fit: CoxFit, cuts: int = 200) -> dict[str, float]:
         )
         .persist()
     )
+    if cuts is None:
+        cuts = min(max(merged.count() // BAND_ROWS, 8), MAX_CUTS)
     probs = [i / cuts for i in range(1, cuts)]
     q = merged.agg(
         F.array_distinct(F.percentile_approx("s", probs, 100_000)), F.array_distinct(F.percentile_approx("time", probs, 100_000))
@@ -669,14 +673,12 @@ def adjusted_survival(
     if times is None:
         points = [tuple(r) for r in base.orderBy("time").select(*columns).collect()]  # event times only
     else:
-        asked = fit.spark.createDataFrame([(float(t),) for t in times], "at double")
         lists = F.struct(*columns)
         last = [F.max_by(lists, F.when(F.col("time") <= float(t), F.col("time"))).alias(f"_{i}") for i, t in enumerate(times)]
         got = base.agg(*last).first()
         points = [
             (float(t), *([0.0] * (p + 2) if got[i] is None else list(got[i])[1:])) for i, t in enumerate(times)
         ]
-        del asked
     hazards = [(i, *pt) for i, pt in enumerate(points)]
     schema = "k int, " + ", ".join(f"{c} double" for c in columns)
     table = fit.spark.createDataFrame(hazards, schema)
@@ -720,7 +722,7 @@ def adjusted_survival(
                 *[F.sum(F.col("w") * s * F.col("r") * F.col(f"x{j}")).alias(f"sx{j}") for j in range(p)],
             )
         )
-    sums = reduce(lambda a, c: a.unionByName(c), parts).join(F.broadcast(table), "k")
+    sums = reduce(lambda a, c: a.unionByName(c), parts).join(table, "k")
     n, mean_s, mean_sr = F.col("n"), F.col("s") / F.col("n"), F.col("sr") / F.col("n")
     grad = [F.col(f"q{j}") * mean_sr - F.col("hazard") * F.col(f"sx{j}") / n for j in range(p)]
     v = fit.scaled_vcov

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FLOOR = 2_000_000  # a key up to this many rows is one window group
-SHARE = 1 / 500  # above FLOOR, a key is hot when it holds more than this share: at most 500 hot keys
-SEGMENTS = 128  # pieces a hot key is cut into
+SHARE = 1 / 5000  # above FLOOR, a key is hot when it holds more than this share: at most 5000 hot keys
+SEGMENTS = 2048  # most pieces a hot key is cut into
+BLOCK = 32  # cut points searched per step of the two-step search
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,7 @@ def key_max(column: str) -> Step:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], floor: int = FLOOR, share: float = SHARE) -> DataFrame | None:
-    """Keys too large for one window group, or None. At most ``1/share`` rows."""
+    """Keys too large for one window group with their number of pieces, or None. At most ``1/share`` rows."""
     if not keys:
         df, keys = df.withColumn("_all", F.lit(1)), ["_all"]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -79,10 +80,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], floor: int = FLOOR, share: floa
     if top is None or top <= floor:
         return None
     limit = max(floor, int(total * share))
-    rows = counts.where(F.col("_n") > limit).select(*keys).collect()
+    # a key of n rows is cut into about 2 n / limit pieces: together at most 3 / share cut points
+    pieces = F.least(F.ceil(F.col("_n") * 2.0 / limit), F.lit(1 << 30)).cast("int").alias("_pieces")
+    rows = counts.where(F.col("_n") > limit).select(*keys, pieces).collect()
     if not rows:
         return None
-    schema = T.StructType([df.schema[k] for k in keys])
+    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_pieces", T.IntegerType())])
     return df.sparkSession.createDataFrame(rows, schema)
 
 
@@ -149,20 +152,25 @@ def ordered_scan(
 
     place = _place(df, order[0])
     probs = [i / segments for i in range(1, segments)]
+    every = F.greatest(F.floor(F.lit(segments) / F.col("_pieces")), F.lit(1)).cast("int")
     cut_rows = (
-        df.join(F.broadcast(hot), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.array_distinct(F.percentile_approx(place, probs, 10_000)).alias("_cuts"))
+        df.join(F.broadcast(hot), keys)
+        .groupBy(*keys, "_pieces")
+        .agg(F.percentile_approx(place, probs, 20_000).alias("_all_cuts"))
+        .select(*keys, F.array_distinct(F.filter("_all_cuts", lambda c, i: (i + 1) % every == 0)).alias("_cuts"))
         .collect()
     )
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
-    cuts = df.sparkSession.createDataFrame(cut_rows, schema)
+    cuts = df.sparkSession.createDataFrame(cut_rows, schema).withColumn(
+        "_coarse", F.filter("_cuts", lambda c, i: (i + 1) % BLOCK == 0)
+    )
     columns = df.columns
+    # two short searches instead of one over all cut points of the key
+    block = F.size(F.filter("_coarse", lambda c: c <= place)) * BLOCK
+    within = F.size(F.filter(F.slice("_cuts", block + 1, F.lit(BLOCK)), lambda c: c <= place))
     cut = df.join(F.broadcast(cuts), keys, "left").withColumn(
         "_seg",
-        F.when(F.col("_cuts").isNull(), F.lit(0))
-        .when(place.isNull(), F.lit(segments + 1))
-        .otherwise(F.size(F.filter("_cuts", lambda c: c <= place))),
+        F.when(F.col("_cuts").isNull(), F.lit(0)).when(place.isNull(), F.lit(segments + 1)).otherwise(block + within),
     )
     key = _order_key(order)
     part: dict[str, Column] = {"_rows": F.count(F.lit(1))}
@@ -187,7 +195,7 @@ def ordered_scan(
     parts = (
         cut.where(F.col("_cuts").isNotNull()).groupBy(*keys, "_seg").agg(*[e.alias(n) for n, e in part.items()])
     )
-    # at most 500 hot keys x 129 segments
+    # at most 3 / share rows: the cut points of all hot keys
     wk = Window.partitionBy(*keys)
     earlier = wk.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     later = wk.orderBy(F.desc("_seg")).rowsBetween(Window.unboundedPreceding, -1)
@@ -206,7 +214,7 @@ def ordered_scan(
             "max": lambda: F.max(p).over(wk),
         }[s.kind]()
     carries = parts.select(*keys, "_seg", *[e.alias(n) for n, e in carry.items()])
-    joined = cut.drop("_cuts").join(F.broadcast(carries), [*keys, "_seg"], "left")
+    joined = cut.drop("_cuts", "_coarse").join(F.broadcast(carries), [*keys, "_seg"], "left")
     w = Window.partitionBy(*keys, "_seg")
     up, down = w.orderBy(*asc), w.orderBy(*desc)
     result: dict[str, Column] = {}

@@ -29,6 +29,13 @@ def _r(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+def p_sql(chisq: str) -> str:
+    """Upper tail of the chi-square distribution with one degree of freedom, by the error-function series."""
+    x = f"sqrt(({chisq}) / 2)"
+    term = f"(CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END) * pow({x}, 2 * k + 1) / (gamma(k + 1) * (2 * k + 1))"
+    return f"1 - 2 / sqrt(pi()) * list_sum([{term} FOR k IN range(90)])"
+
+
 # --- Kaplan-Meier -------------------------------------------------------------------------------
 
 
@@ -111,11 +118,11 @@ ob AS (SELECT {group} AS g, count(*) AS n, CAST(sum(event) AS DOUBLE) AS o FROM
 
 @query(
     f"WITH {STUDY},{_logrank_sql('exposed')} SELECT ob.g AS exposed, n, o AS observed, round(e, 6) AS expected, round((o - e) * (o - e) / v, 6) AS chisq, "
-    "1 AS df FROM ob JOIN oe ON oe.g = ob.g"
+    f"1 AS df, round({p_sql('(o - e) * (o - e) / v')}, 6) AS p FROM ob JOIN oe ON oe.g = ob.g"
 )
 def logrank(spark, folder):
     out = K.logrank(views.study(spark, folder), "time", "event", "exposed")
-    return _r(out, "expected", "chisq").drop("p")
+    return _r(out, "expected", "chisq", "p")
 
 
 @query(f"WITH {STUDY},{_logrank_sql('arm')} SELECT ob.g AS arm, n, o AS observed, round(e, 6) AS expected, 4 AS df FROM ob JOIN oe ON oe.g = ob.g")
@@ -131,9 +138,9 @@ x AS (SELECT group1, group2, time, sum(event) AS d, count(*) AS m, sum(CASE WHEN
 n AS (SELECT group1, group2, CAST(d AS DOUBLE) AS d, CAST(d1 AS DOUBLE) AS d1, CAST(sum(m) OVER w AS DOUBLE) AS n, CAST(sum(m1) OVER w AS DOUBLE) AS n1 FROM x
   WINDOW w AS (PARTITION BY group1, group2 ORDER BY time DESC)),
 s AS (SELECT group1, group2, sum(d1 - d * n1 / n) AS u, sum(CASE WHEN n > 1 THEN d * (n1 / n) * (1 - n1 / n) * (n - d) / (n - 1) ELSE 0 END) AS v FROM n WHERE d > 0 GROUP BY 1, 2)
-SELECT group1, group2, round(u * u / v, 6) AS chisq, 1 AS df FROM s""")
+SELECT group1, group2, round(u * u / v, 6) AS chisq, 1 AS df, round({p_sql('u * u / v')}, 6) AS p FROM s""")
 def logrank_pairwise(spark, folder):
-    return _r(K.pairwise_logrank(views.study(spark, folder), "time", "event", "arm"), "chisq").drop("p")
+    return _r(K.pairwise_logrank(views.study(spark, folder), "time", "event", "arm"), "chisq", "p")
 
 
 # --- models -------------------------------------------------------------------------------------
@@ -217,7 +224,7 @@ def _z(k: int) -> str:
     return (
         f"round(b{k}, 6) AS coef, round(sqrt(v{k}{k}), 6) AS se, round(exp(b{k}), 6) AS hr, "
         f"round(exp(b{k} - 1.959963984540054 * sqrt(v{k}{k})), 6) AS lower, round(exp(b{k} + 1.959963984540054 * sqrt(v{k}{k})), 6) AS upper, "
-        f"round(b{k} / sqrt(v{k}{k}), 6) AS z"
+        f"round(b{k} / sqrt(v{k}{k}), 6) AS z, round({p_sql(f'b{k} * b{k} / v{k}{k}')}, 6) AS p"
     )
 
 
@@ -227,7 +234,7 @@ def _z(k: int) -> str:
 )
 def cox(spark, folder):
     _, fit = _fit(spark, folder)
-    return _r(C.coefficients(fit), "coef", "se", "hr", "lower", "upper", "z").drop("p")
+    return _r(C.coefficients(fit), "coef", "se", "hr", "lower", "upper", "z", "p")
 
 
 @query(
@@ -238,13 +245,13 @@ def cox(spark, folder):
     "t AS (SELECT 'likelihood_ratio' AS test, 2 * (cxi.ll - cx0.ll) AS x FROM cxi, cx0 "
     "UNION ALL SELECT 'wald', b0 * b0 * i00 + 2 * b0 * b1 * i01 + b1 * b1 * i11 FROM cxb, cxi "
     "UNION ALL SELECT 'score', (i11 * u0 * u0 - 2 * i01 * u0 * u1 + i00 * u1 * u1) / det FROM u) "
-    "SELECT test, round(x, 4) AS statistic, 2 AS df, round((conc + tied / CAST(2 AS DOUBLE)) / total, 4) AS concordance, "
+    "SELECT test, round(x, 4) AS statistic, 2 AS df, round(exp(-x / 2), 6) AS p, round((conc + tied / CAST(2 AS DOUBLE)) / total, 4) AS concordance, "
     "(SELECT count(*) FROM study) AS n, (SELECT count(*) FROM study WHERE event = 1) AS events FROM t, pr"
 )
 def cox_global(spark, folder):
     _, fit = _fit(spark, folder)
     out = C.global_tests(fit)
-    return out.withColumns({"statistic": F.round("statistic", 4), "concordance": F.round("concordance", 4)}).drop("p")
+    return out.withColumns({"statistic": F.round("statistic", 4), "concordance": F.round("concordance", 4), "p": F.round("p", 6)})
 
 
 @query(
@@ -257,8 +264,20 @@ def cox_variable_tests(spark, folder):
     return C.variable_tests(rows, fit).withColumn("lr", F.round("lr", 4)).drop("global_p")
 
 
-@query(None)
+@query(
+    f"WITH {STUDY},\n{cox_sql(_XS)},\n{cox_sql(_XS[1:], name='ca')},\n{cox_sql(_XS[:1], name='cb')} "
+    f"SELECT 'exposedYes' AS term, 'exposed' AS variable, 'Yes' AS level, {_z(0)}, round({p_sql('2 * (cxv.ll - cai.ll)')}, 5) AS global_p FROM cxb, cxv, cai "
+    f"UNION ALL SELECT 'balance_k', 'balance_k', NULL, {_z(1)}, round({p_sql('2 * (cxv.ll - cbi.ll)')}, 5) FROM cxb, cxv, cbi"
+)
 def cox_table(spark, folder):
+    rows, fit = _fit(spark, folder)
+    out = C.cox_table(rows, fit).withColumn("global_p", F.round("global_p", 5))
+    return _r(out, "coef", "se", "hr", "lower", "upper", "z", "p")
+
+
+@query(None)
+def cox_factors(spark, folder):
+    """A model of two factors with several levels, and their joint tests."""
     rows = views.study(spark, folder)
     levels = {"arm": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"], "band": ["low", "debt", "high"]}
     return C.cox_table(rows, C.cox_fit(rows, "time", "event", ["arm", "band"], levels))
@@ -324,12 +343,29 @@ def adjusted_survival(spark, folder):
     return out.withColumns({c: F.round(c, 5) for c in ("survival", "std_err", "lower", "upper")})
 
 
-@query(None)
+_WEALTH = [_XS[0], "CASE WHEN balance >= 5000 THEN 1 ELSE 0 END"]
+
+
+def _profile_sql() -> str:
+    """Adjusted curves at every event time; equal covariates are merged with their count."""
+    body = _BASE[_BASE.index("hc AS") :].replace(f"(SELECT CAST(unnest({_AT}) AS DOUBLE) AS tp)", "(SELECT time AS tp FROM h)")
+    base = _BASE[: _BASE.index("hc AS")] + """
+hc AS (SELECT time AS tp, sum(h) OVER w AS h, sum(v) OVER w AS v, sum(q0) OVER w AS q0, sum(q1) OVER w AS q1 FROM h WINDOW w AS (ORDER BY time)),
+"""
+    body = body[body.index("pp AS") :]
+    return base + body
+
+
+@query(
+    f"WITH {STUDY},\n{cox_sql(_WEALTH)},{_profile_sql()}, "
+    "km AS (SELECT lv, tp AS time, s, greatest(s - 1.959963984540054 * se, 0) AS lo, least(s + 1.959963984540054 * se, 1) AS hi FROM ad) "
+    f"SELECT CASE lv WHEN 1 THEN 'Yes' ELSE 'No' END AS \"group\", {median_sql('s', 'q')}, {median_sql('lo', 'ci_lower')}, {median_sql('hi', 'ci_upper')} FROM km GROUP BY lv"
+)
 def adjusted_median(spark, folder):
     """Medians of curves standardised over a model of factors only, so rows are merged by profile."""
-    rows = views.study(spark, folder)
-    fit = C.cox_fit(rows, "time", "event", ["exposed", "band"], {**LEVELS, "band": ["low", "debt", "high"]})
-    return C.adjusted_median(C.adjusted_survival(rows, fit, "exposed"), "exposed")
+    rows = views.study(spark, folder).withColumn("wealth", F.when(F.col("balance") >= 5000, "high").otherwise("low"))
+    fit = C.cox_fit(rows, "time", "event", ["exposed", "wealth"], {**LEVELS, "wealth": ["low", "high"]})
+    return _r(C.adjusted_median(C.adjusted_survival(rows, fit, "exposed"), "exposed"), "q", "ci_lower", "ci_upper")
 
 
 @query(
