@@ -1,4 +1,4 @@
-"""Session settings the library expects, and the shared folder for cut lineage."""
+"""Session settings the library expects, and the shared folder for tables that cut lineage."""
 
 from __future__ import annotations
 
@@ -24,8 +24,14 @@ def local_session(cores: int | str = 8, app: str = "hazardline", shuffle_partiti
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which every executor sees; only where that is
-    unset, as in tests, under the local temporary folder.
+    """A new folder under ``spark.checkpoint.dir``, which every executor sees.
+
+    Where that is unset, a local session (tests) gets a temporary folder and any other raises: an executor's own
+    disk is no place for a table that others read.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/hazardline-{name}-{uuid.uuid4().hex}"
