@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hazardline.llm import bpe, decontam, pack
+from hazardline.llm import bpe, decontam, linedup, neardup, pack, shard
 from hazardline.llm.common import table
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -18,18 +18,36 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents on four-word shingles at a similarity of 0.8."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the public 50k byte-level vocabulary."""
     return bpe.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards of at most 64 MiB of text."""
+    return shard.assign(table(spark, sf_dir, "documents"))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 1024 tokens and shorter tiers."""
     return pack.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated windows of three lines."""
+    return linedup.dedup_report(table(spark, sf_dir, "documents"))
+
+
 CORPUS_QUERIES: dict[str, Query] = {
     "op1_decontaminate": (op1_decontaminate, decontam.REPORT_SQL),
+    "op2_near_duplicates": (op2_near_duplicates, neardup.GROUPS_SQL),
     "op6_token_counts": (op6_token_counts, None),
+    "op7_shards": (op7_shards, shard.assign_sql()),
     "op8_pack": (op8_pack, None),
+    "op9_line_dedup": (op9_line_dedup, linedup.REPORT_SQL),
 }
