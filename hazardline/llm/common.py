@@ -50,6 +50,19 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(7), text).alias("t2")]
 
 
-def spread(doc_id: Column, text: Column) -> Column:
-    """A number from 0 to 1 drawn from a row's values, the same in every run."""
-    return (F.xxhash64(F.lit(31), doc_id, text).bitwiseAND(F.lit((1 << 52) - 1))) / F.lit(float(1 << 52))
+def sample_by_label(rows: DataFrame, label: str, size: int) -> DataFrame:
+    """About ``size`` of ``rows`` (doc_id, label), the same number of each label as far as there are so many.
+
+    A row is drawn by a hash of its doc_id, with the odds that give its label its share; the odds are one small row per
+    label. Rows without a label or an id are left out.
+    """
+    rows = rows.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return rows
+    share = size / len(counts)
+    odds = rows.sparkSession.createDataFrame(
+        [(k, min(1.0, share / n)) for k, n in counts.items()], f"{label} {dict(rows.dtypes)[label]}, odds_ double"
+    )
+    drawn = F.xxhash64(F.lit(31), "doc_id").bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+    return rows.join(F.broadcast(odds), label).where(drawn < F.col("odds_")).drop("odds_")
