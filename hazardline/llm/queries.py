@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hazardline.llm import bpe, decontam, linedup, neardup, pack, shard
+from hazardline.llm import bpe, decontam, feistel, imatch, langid, linedup, mil, neardup, pack, shard
 from hazardline.llm.common import table
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -23,6 +23,21 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, of their edited texts, and how near these and the next ones are."""
+    return imatch.compare_edited(table(spark, sf_dir, "documents"))
+
+
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their validated numbers, dates and addresses replaced by keyed pseudonyms."""
+    return feistel.pseudonymise(table(spark, sf_dir, "documents"), key="hazardline")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned outside fold 2 of 4."""
+    return langid.identify_held_out(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the public 50k byte-level vocabulary."""
     return bpe.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -43,11 +58,20 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from labels outside fold 0 of 5."""
+    return mil.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 CORPUS_QUERIES: dict[str, Query] = {
     "op1_decontaminate": (op1_decontaminate, decontam.REPORT_SQL),
     "op2_near_duplicates": (op2_near_duplicates, neardup.GROUPS_SQL),
+    "op3_fingerprints": (op3_fingerprints, imatch.compare_sql()),
+    "op4_pseudonyms": (op4_pseudonyms, None),
+    "op5_language": (op5_language, None),
     "op6_token_counts": (op6_token_counts, None),
     "op7_shards": (op7_shards, shard.assign_sql()),
     "op8_pack": (op8_pack, None),
     "op9_line_dedup": (op9_line_dedup, linedup.REPORT_SQL),
+    "op10_quality": (op10_quality, None),
 }
