@@ -3,15 +3,16 @@ import shutil
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
-from test_decontam import brute as leaks
-from test_lines_shards import linedup
-from test_models import quality_rows
-from test_neardup import brute as groups
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from hazardline.llm import mil
 
+from .test_decontam import brute as leaks
+from .test_lines_shards import linedup
+from .test_models import quality_rows
+from .test_neardup import brute as groups
+
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
 
