@@ -22,9 +22,10 @@ def dictionary_codes(dd: DataFrame, order: str | None = None) -> DataFrame:
     """One row per field and code: ``field_name, code, label``.
 
     Choices read ``code, label | code, label``; the first comma splits. When a field is listed
-    more than once its first row (by ``order``, else by its text) is used, and so is the first of
-    repeated codes. Every mapped field also knows ``nd``.
+    more than once its first row is used (by ``order``, else by the ``row_seq`` that the reader adds, else by its text),
+    and so is the first of repeated codes. Every mapped field also knows ``nd``.
     """
+    order = order or ("row_seq" if "row_seq" in dd.columns else None)
     pick = F.min_by(CHOICES, order) if order else F.min(CHOICES)
     texts = dd.where(F.col(FIELD).isNotNull()).groupBy(FIELD).agg(pick.alias("_text")).where(F.col("_text").isNotNull())
     pairs = texts.select(FIELD, F.posexplode(F.split("_text", r"\s*\|\s*")).alias("_pos", "_pair"))

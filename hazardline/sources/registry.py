@@ -15,23 +15,24 @@ LAB_MARKERS = [
     "platelet", "lymphocytes", "kreatinin", "leukocytes", "harnsaeure", "harnstoff", "monocytes",
 ]
 SECOND_COHORT_MARKERS = ["diag_hemo_diag", *LAB_MARKERS]
-GUESS_ROWS = 10_000
 FIELD_NAME = "field_name"
+ROW_SEQ = "row_seq"
 # ----------------------------------------------------------------------------------------------
 
 
-def guess_schema(text: DataFrame, as_text: Sequence[str] = (), rows: int = GUESS_ROWS) -> T.StructType:
-    """Types that fit every value in the first ``rows`` rows of an all-text table, in one job.
+def guess_schema(text: DataFrame, as_text: Sequence[str] = ()) -> T.StructType:
+    """Types that fit every value of an all-text table, in one aggregation over all its rows.
 
-    Integer, then double, then ISO date, then text; an empty column is text.
+    Whole number (32 bits, else 64), then double, then ISO date, then text; an empty column is text, and so is one in which a
+    whole number has a leading zero, which a number would lose.
     """
     names = [c for c in text.columns if c not in as_text]
-    tests = {"int": "^-?[0-9]{1,9}$", "double": r"^-?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?$", "date": r"^\d{4}-\d{2}-\d{2}$"}
+    tests = {"int": "^(0|-?[1-9][0-9]{0,8})$", "long": "^(0|-?[1-9][0-9]{0,17})$", "double": r"^-?(0|[1-9][0-9]*)?(\.[0-9]+)?([eE][-+]?[0-9]+)?$", "date": r"^\d{4}-\d{2}-\d{2}$"}
     aggs = [F.count(F.col(f"`{c}`")).alias(f"n_{i}") for i, c in enumerate(names)]
     for kind, pattern in tests.items():
         aggs += [F.count(F.when(F.col(f"`{c}`").rlike(pattern), 1)).alias(f"{kind}_{i}") for i, c in enumerate(names)]
-    row = text.limit(rows).agg(*aggs).first() if names else None
-    types = {"int": T.IntegerType(), "double": T.DoubleType(), "date": T.DateType()}
+    row = text.agg(*aggs).first() if names else None
+    types = {"int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(), "date": T.DateType()}
     chosen: dict[str, T.DataType] = {}
     for i, c in enumerate(names):
         fits = [k for k in tests if row[f"n_{i}"] and row[f"{k}_{i}"] == row[f"n_{i}"]]
@@ -51,8 +52,9 @@ def read_registry(
 ) -> DataFrame:
     """The flat export as one wide table.
 
-    With a schema the file is read once. Without one, types are guessed from the first rows; lab
-    markers always stay text. ``row_seq`` keeps the order of rows within a file, unless the export
+    With a schema the file is read once. Without one, types are those that fit all rows, at the cost of a second read;
+    lab markers always stay text. Quoted values may have line breaks, so one CSV file is one task: large exports are
+    better kept as many files, JSON lines or Parquet. ``row_seq`` keeps the order of rows within a file, unless the export
     brings such a column itself.
     """
     if fmt == "parquet":
@@ -60,7 +62,7 @@ def read_registry(
     elif fmt == "json":
         out = (spark.read.schema(schema) if schema else spark.read).json(path)
     elif fmt == "csv":
-        options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": False}
+        options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": True}
         if schema is not None:
             out = spark.read.options(**options).schema(schema).csv(path)
         else:
@@ -74,10 +76,10 @@ def read_registry(
 
 
 def apply_types(text: DataFrame, schema: T.StructType) -> DataFrame:
-    """Text columns to the given types; a value that does not fit becomes null."""
+    """Text columns to the given types; a value that does not fit is an error."""
     return text.select(
         *[
-            F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
+            F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
             for f in schema.fields
         ]
     )
@@ -100,6 +102,7 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     sep = ";" if header.count(";") > header.count(",") else ","
     dd = spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=True).csv(path)
     dd = dd.toDF(*[snake_name(c) for c in dd.columns])
+    dd = dd.withColumn(ROW_SEQ, F.monotonically_increasing_id())  # one file with line breaks is one task: file order
     return dd if FIELD_NAME in dd.columns else dd.withColumnRenamed(dd.columns[0], FIELD_NAME)
 
 
@@ -117,10 +120,10 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ",",
     """The wide analysis sheet, exported as CSV or Parquet."""
     if fmt == "parquet":
         return spark.read.parquet(path)
-    text = spark.read.options(header=True, sep=sep, quote='"', escape='"', nullValue="").csv(path)
+    text = spark.read.options(header=True, sep=sep, quote='"', escape='"', nullValue="", multiLine=True).csv(path)
     if types is None:
         return apply_types(text, guess_schema(text))
-    return text.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in types.items()})
+    return text.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in types.items()})
 
 
 def pseudonymise(df: DataFrame, salt: str, id_column: str = "record_id", name: str = "record_id_new") -> DataFrame:

@@ -184,3 +184,20 @@ def test_second_cohort_join(spark, result):
     line = result["tot"].select("record_id", "treat_line")
     out = cleaning.second_cohort_lines(final, line, ["yob"], F.col("record_id").cast("int").cast("string").rlike("^1"))
     assert sorted(tuple(r) for r in out.select("record_id", "treat_line").collect()) == [(1.0, 1), (1.0, 2)]
+
+
+def test_late_odd_values_and_line_breaks(spark, tmp_path):
+    rows = [f'{k},00{k},{k}' for k in range(12_000)] + ['3000000001,x,1.5', '5,"two\nlines",2']
+    (tmp_path / "r.csv").write_text("id,code,value\n" + "\n".join(rows) + "\n")
+    out = registry.read_registry(spark, str(tmp_path / "r.csv"))
+    assert dict(out.dtypes) == {"id": "bigint", "code": "string", "value": "double", "row_seq": "bigint"}
+    assert out.count() == 12_002 and out.where("id is null or code is null or value is null").isEmpty()
+    assert out.where("id = 3000000001").first()["value"] == 1.5 and out.where("code = 'two\nlines'").count() == 1
+
+
+def test_first_row_of_a_repeated_field(spark, tmp_path):
+    from hazardline.functions import dictionary
+
+    (tmp_path / "d.csv").write_text('field_name,choices_calculations_or_slider_labels\nf,"1, Zeta"\nf,"1, Alpha"\n')
+    codes = dictionary.dictionary_codes(registry.read_dictionary(spark, str(tmp_path / "d.csv")))
+    assert [r["label"] for r in codes.where("code = '1'").collect()] == ["Zeta"]
