@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -165,12 +165,19 @@ def _merge(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def match_items(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
+Batches = Iterator[pa.RecordBatch]
+
+
+def match_items(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS,
+    then: Callable[[Batches], Batches] | None = None, then_schema: str = "",
+) -> DataFrame:
     """One row per document row: doc_id, text, n_words, n_hit, items (sorted item ids as text), spans (merged word
     ranges inside occurrences).
 
     A null or empty text has no words and no hits; an item without words matches nothing; a null item_id counts as the
     empty id; items with the same id are one. Repeated document rows each get their row. Other columns are left out.
+    ``then`` is applied to the rows by the workers that matched the last block, and gives ``then_schema``.
     """
     spark = docs.sparkSession
     id_type = dict(docs.dtypes)["doc_id"]
@@ -180,15 +187,16 @@ def match_items(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_w
     )
     schema = f"doc_id {id_type}, text string, items array<string>, spans array<array<int>>"
     fields = pa.list_(pa.string()), pa.list_(pa.list_(pa.int32()))
-    for block in item_blocks(benchmark, window, block_words):
+
+    def matcher(block: list[tuple[str, list[bytes]]]) -> Callable[[Batches], Batches]:
         shared = spark.sparkContext.broadcast(Automaton(block, window))
 
-        def stream(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def stream(batches: Batches) -> Batches:
             automaton = shared.value
             for batch in batches:
                 items, spans = batch.column("items").to_pylist(), batch.column("spans").to_pylist()
-                for k, text in enumerate(texts(batch)):
-                    ranges, seen = automaton.match(words(text))
+                for k, text in enumerate(batch.column("text").cast(pa.binary())):
+                    ranges, seen = automaton.match(words(text.as_py()))
                     if seen:
                         items[k] = sorted({*items[k], *seen})
                         spans[k] = _merge(spans[k] + ranges)
@@ -197,8 +205,16 @@ def match_items(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_w
                     ["doc_id", "text", "items", "spans"],
                 )
 
-        state = map_arrow(state, stream, schema)
-    return state
+        return stream
+
+    last = None
+    for block in item_blocks(benchmark, window, block_words):
+        if last is not None:
+            state = map_arrow(state, last, schema)
+        last = matcher(block)
+    if then is None:
+        return state if last is None else map_arrow(state, last, schema)
+    return map_arrow(state, then if last is None else lambda batches: then(last(batches)), then_schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -216,8 +232,7 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words:
                 ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
             )
 
-    matched = match_items(docs, benchmark, window, block_words)
-    return map_arrow(matched, count, f"doc_id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return match_items(docs, benchmark, window, block_words, count, f"doc_id {id_type}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def remove_matches(
@@ -257,7 +272,7 @@ def remove_matches(
             )
             yield edited.filter(pa.array(kept, pa.bool_()))
 
-    cleaned = map_arrow(match_items(tucked, benchmark, window, block_words), clean, f"doc_id {id_type}, text string, edited boolean")
+    cleaned = match_items(tucked, benchmark, window, block_words, clean, f"doc_id {id_type}, text string, edited boolean")
     old = {c: F.col("doc_id").getField(c) for c in ["doc_id", *keep]}
     if "n_chars" in old:
         kind = dict(docs.dtypes)["n_chars"]
