@@ -22,7 +22,7 @@ def dictionary_codes(dd: DataFrame, order: str | None = None) -> DataFrame:
     """One row per field and code: ``field_name, code, label``.
 
     Choices read ``code, label | code, label``; the first comma splits. When a field is listed
-    more than once its first row is used (by ``order``, else by the ``row_seq`` that the reader adds, else by its text),
+    more than once its first row is used (by ``order``, else by a ``row_seq`` column, else by its text),
     and so is the first of repeated codes. Every mapped field also knows ``nd``.
     """
     order = order or ("row_seq" if "row_seq" in dd.columns else None)

@@ -16,7 +16,6 @@ LAB_MARKERS = [
 ]
 SECOND_COHORT_MARKERS = ["diag_hemo_diag", *LAB_MARKERS]
 FIELD_NAME = "field_name"
-ROW_SEQ = "row_seq"
 # ----------------------------------------------------------------------------------------------
 
 
@@ -27,7 +26,12 @@ def guess_schema(text: DataFrame, as_text: Sequence[str] = ()) -> T.StructType:
     whole number has a leading zero, which a number would lose.
     """
     names = [c for c in text.columns if c not in as_text]
-    tests = {"int": "^(0|-?[1-9][0-9]{0,8})$", "long": "^(0|-?[1-9][0-9]{0,17})$", "double": r"^-?(0|[1-9][0-9]*)?(\.[0-9]+)?([eE][-+]?[0-9]+)?$", "date": r"^\d{4}-\d{2}-\d{2}$"}
+    tests = {
+        "int": "^(0|-?[1-9][0-9]{0,8})$",
+        "long": "^(0|-?[1-9][0-9]{0,17})$",
+        "double": r"^-?((0|[1-9][0-9]*)(\.[0-9]+)?|\.[0-9]+)([eE][-+]?[0-9]+)?$",
+        "date": r"^\d{4}-\d{2}-\d{2}$",
+    }
     aggs = [F.count(F.col(f"`{c}`")).alias(f"n_{i}") for i, c in enumerate(names)]
     for kind, pattern in tests.items():
         aggs += [F.count(F.when(F.col(f"`{c}`").rlike(pattern), 1)).alias(f"{kind}_{i}") for i, c in enumerate(names)]
@@ -96,13 +100,17 @@ def snake_name(name: str) -> str:
     return re.sub(r"[^0-9a-zA-Z]+", "_", name).strip("_").lower()
 
 
-def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """The data dictionary; ``;`` or ``,`` by whichever is more common in the header, outside quotes."""
+def read_dictionary(spark: SparkSession, path: str, sequence: str | None = None) -> DataFrame:
+    """The data dictionary; ``;`` or ``,`` by whichever is more common in the header, outside quotes.
+
+    With ``sequence``, a column of that name has the order of the rows; ``dictionary_codes`` finds it as ``row_seq``.
+    """
     header = re.sub('"[^"]*"', "", spark.read.text(path).limit(1).first()[0])
     sep = ";" if header.count(";") > header.count(",") else ","
     dd = spark.read.options(header=True, sep=sep, quote='"', escape='"', multiLine=True).csv(path)
     dd = dd.toDF(*[snake_name(c) for c in dd.columns])
-    dd = dd.withColumn(ROW_SEQ, F.monotonically_increasing_id())  # one file with line breaks is one task: file order
+    if sequence is not None:
+        dd = dd.withColumn(sequence, F.monotonically_increasing_id())  # one file with line breaks is one task: file order
     return dd if FIELD_NAME in dd.columns else dd.withColumnRenamed(dd.columns[0], FIELD_NAME)
 
 

@@ -199,5 +199,5 @@ def test_first_row_of_a_repeated_field(spark, tmp_path):
     from hazardline.functions import dictionary
 
     (tmp_path / "d.csv").write_text('field_name,choices_calculations_or_slider_labels\nf,"1, Zeta"\nf,"1, Alpha"\n')
-    codes = dictionary.dictionary_codes(registry.read_dictionary(spark, str(tmp_path / "d.csv")))
+    codes = dictionary.dictionary_codes(registry.read_dictionary(spark, str(tmp_path / "d.csv"), sequence="row_seq"))
     assert [r["label"] for r in codes.where("code = '1'").collect()] == ["Zeta"]
