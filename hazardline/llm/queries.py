@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hazardline.llm import bpe, decontam, feistel, imatch, langid, linedup, mil, neardup, pack, shard
+from hazardline.llm import bpe, decontam, feistel, imatch, langid, linedup, mil, neardup, pack, runs, shard
 from hazardline.llm.common import table
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -63,6 +63,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, and its text without their repeats."""
+    return runs.report(table(spark, sf_dir, "documents"))
+
+
 CORPUS_QUERIES: dict[str, Query] = {
     "op1_decontaminate": (op1_decontaminate, decontam.REPORT_SQL),
     "op2_near_duplicates": (op2_near_duplicates, neardup.GROUPS_SQL),
@@ -74,4 +79,5 @@ CORPUS_QUERIES: dict[str, Query] = {
     "op8_pack": (op8_pack, None),
     "op9_line_dedup": (op9_line_dedup, linedup.REPORT_SQL),
     "op10_quality": (op10_quality, None),
+    "op13_periodic_runs": (op13_periodic_runs, None),
 }
