@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardline.operators.kaplan_meier import Z95, chi2_sf, kaplan_meier
-from hazardline.operators.scans import FLOOR, ordered_scan, preceding, remaining_sum, running_sum
+from hazardline.operators.scans import PIECE, ordered_scan, preceding, remaining_sum, running_sum
 
 # --- fixed values -----------------------------------------------------------------------------
 TOLERANCE = 1e-9
@@ -258,7 +258,7 @@ def _prepare(
     scale = np.where(var > 1e-12, np.sqrt(np.maximum(var, 1e-300)), 1.0)
     design = raw.withColumns({f"x{k}": (F.col(f"x{k}") - F.lit(float(mean[k]))) / F.lit(float(scale[k])) for k in range(p)})
     # few distinct times (calendar days, say) fit one window; otherwise every scan measures
-    scan = {"bounded": True} if stats["times"] * 1.2 < FLOOR else {}
+    scan = {"bounded": True} if stats["times"] * 1.2 < PIECE else {}
     deaths = design.where("event = 1").groupBy("time").agg(F.sum("w").alias("d"))
     heavy = (deaths.agg(F.max("d")).first()[0] or 0) > TIE_CHUNK
     return terms, levels, design, mean, scale, int(n), scan, heavy

@@ -8,7 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardline.operators.contracts import keep_numeric_ids
-from hazardline.operators.scans import fill_down, fill_up, first_per_key, ordered_scan, position
+from hazardline.operators.scans import (
+    KeySizes,
+    fill_down,
+    fill_up,
+    first_per_key,
+    key_max,
+    measure_keys,
+    ordered_scan,
+    position,
+)
 
 # --- fixed values -----------------------------------------------------------------------------
 THERAPY = "medical_treatment"
@@ -51,24 +60,28 @@ def split_registry(
     up: Sequence[str] = (),
     base_filter: Column | None = None,
     order: Sequence[str] = ("row_seq",),
+    sizes: KeySizes | None = None,
 ) -> dict[str, DataFrame]:
     """``base``, ``thx`` and ``sv`` from the wide export.
 
     Values are filled before the cohort filter, because patient fields stand on one row only. The
-    therapy and status rows keep patients that have a base row.
+    therapy and status rows keep patients that have a base row: a mark that is spread over the
+    patient's rows after they are filled, on the same partitioning. ``sizes``: the patients' row
+    counts in the export, where they are known; else they are counted here, once.
     """
-    filled = fill(wide, down, up, order=order) if down or up else wide
-    rows = keep_numeric_ids(filled.where(cohort))
-    base = rows.where(F.col("redcap_repeat_instance").isNull())
+    sizes = sizes or measure_keys(wide, ["record_id"])
+    filled = fill(wide, down, up, order=order, sizes=sizes) if down or up else wide
+    is_base = F.col("redcap_repeat_instance").isNull()
     if base_filter is not None:
-        base = base.where(base_filter)
-    ids = base.select("record_id").distinct()
+        is_base = is_base & F.coalesce(base_filter, F.lit(False))
+    rows = keep_numeric_ids(filled.where(cohort)).withColumn("_base", is_base)
+    marked = ordered_scan(rows, ["record_id"], order, {"_has_base": key_max("_base")}, sizes=sizes)
 
     def instrument(name: str) -> DataFrame:
-        part = rows.where(F.col("redcap_repeat_instrument") == name)
-        return part.join(ids, "record_id", "left_semi").withColumnRenamed("redcap_repeat_instance", "cycle")
+        part = marked.where((F.col("redcap_repeat_instrument") == name) & F.col("_has_base") & F.col("record_id").isNotNull())
+        return part.drop("_base", "_has_base").withColumnRenamed("redcap_repeat_instance", "cycle")
 
-    return {"base": base, "thx": instrument(THERAPY), "sv": instrument(STATUS)}
+    return {"base": marked.where("_base").drop("_base", "_has_base"), "thx": instrument(THERAPY), "sv": instrument(STATUS)}
 
 
 def latest_per_key(df: DataFrame, key: str = "record_id", by: str = "cycle", tie: Sequence[str] = ()) -> DataFrame:

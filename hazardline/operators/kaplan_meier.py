@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazardline.functions.dates import time_scale
-from hazardline.operators.scans import hot_keys, ordered_scan, remaining_sum, running_product, running_sum
+from hazardline.operators.scans import PIECE, measure_keys, ordered_scan, remaining_sum, running_product, running_sum
 
 # --- fixed values -----------------------------------------------------------------------------
 Z95 = 1.959963984540054
@@ -47,8 +47,8 @@ def kaplan_meier(df: DataFrame, time: str, event: str, strata: Sequence[str] = (
     """
     strata = list(strata)
     counts = time_counts(df, time, event, strata).withColumn("m", F.col("d") + F.col("c")).persist()
-    if "floor" not in scan:
-        scan.setdefault("bounded", hot_keys(counts, strata) is None)
+    if "sizes" not in scan and not scan.get("bounded"):
+        scan["sizes"] = measure_keys(counts, strata, scan.pop("floor", PIECE))
     at_risk = ordered_scan(counts, strata, ["time"], {"n": remaining_sum("m")}, **scan)
     factors = at_risk.withColumns(
         {

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hazardline.functions.dates import DAYS, base_name, parse_imputed_date, time_between
 from hazardline.operators.groups import flag_at_extreme, last_non_null, order_struct
-from hazardline.operators.scans import following, hot_keys, key_max, ordered_scan
+from hazardline.operators.scans import following, key_max, measure_keys, ordered_scan
 
 # --- fixed values -----------------------------------------------------------------------------
 LINE_DATES = [
@@ -176,12 +176,10 @@ def density_times(lines: DataFrame) -> DataFrame:
 
 
 def calc_pfs_os(df: DataFrame, tie: Sequence[str] = ("cycle",), **scan) -> DataFrame:
-    """Records to lines with every survival time."""
-    # kept, because the ordered passes over the lines first measure the largest patient, once for both
-    lines = collapse_lines(parse_line_dates(df), tie=tie).persist()
+    """Records to lines with every survival time. Without ``sizes`` a patient's records are counted here, once."""
     if not scan:
-        found = hot_keys(lines, ["record_id"])
-        scan = {"bounded": True} if found is None else {"hot": found}
+        scan = {"sizes": measure_keys(df, ["record_id"])}
+    lines = collapse_lines(parse_line_dates(df), tie=tie)
     lines = os_line(pfs_line(progression_events(last_line(lines, **scan), **scan)))
     if all(c in lines.columns for c in (*DENSITY_DATES, "status_date_15")):
         lines = density_times(lines)

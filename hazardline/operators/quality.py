@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardline.operators.groups import attach
-from hazardline.operators.scans import following, ordered_scan, position, preceding
+from hazardline.operators.scans import following, measure_keys, ordered_scan, position, preceding
 
 # --- fixed values -----------------------------------------------------------------------------
 MAINTENANCE = "Maintenance therapy"
@@ -93,6 +93,8 @@ def resort_unsorted(
 
     ``resorted`` tells which patients changed. A patient with a missing line number is left alone.
     """
+    if not scan:
+        scan = {"sizes": measure_keys(df, ["record_id"])}
     seen = ordered_scan(df, ["record_id"], order, {"_prev_line": preceding("treat_line")}, **scan)
     per_patient = seen.groupBy("record_id").agg(
         (
@@ -102,9 +104,7 @@ def resort_unsorted(
     )
     marked = attach(df, ["record_id"], per_patient)
     moved = F.col("resorted")
-    # the leading key is never constant within a patient, so a large patient can be cut along it
-    keys = {"_s0": F.when(moved, F.col(by[0]).cast("double")).otherwise(F.col(order[0]).cast("double"))}
-    keys |= {f"_s{i}": F.when(moved, F.col(c)) for i, c in enumerate(by) if i}
+    keys = {f"_s{i}": F.when(moved, F.col(c)) for i, c in enumerate(by)}  # null where the patient keeps its order
     ranked = ordered_scan(
         marked.withColumns(keys), ["record_id"], [*keys, *order], {"sort_seq": position()}, **scan
     )

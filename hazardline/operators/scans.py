@@ -1,25 +1,36 @@
 """Ordered scans per key that stay parallel when one key holds a large share of the rows.
 
 A plain window puts every row of a key in one task. That is the best plan while keys are
-small, so it is what runs when the largest key is under ``FLOOR`` rows (measured, not assumed).
-Larger keys are cut along the order column into segments; the window runs per segment and a
-small carry table (one row per hot key and segment) supplies what the earlier or later
-segments contribute. Results are the same either way.
+small, so it is what runs when no key is over ``PIECE`` rows. This is measured, not assumed:
+once, at the source of a key, by :func:`measure_keys`, whose result is handed down to every scan.
+Larger keys are cut along the whole order into pieces: cut points are quantiles of a sample of the
+order tuples, so orders of any type and with constant leading columns are cut alike. The window
+runs per piece; a summary of one row per large key and piece, summed up over the earlier or later
+pieces, supplies what these contribute. Results are the same either way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FLOOR = 2_000_000  # a key up to this many rows is one window group
-SHARE = 1 / 5000  # above FLOOR, a key is hot when it holds more than this share: at most 5000 hot keys
-SEGMENTS = 2048  # most pieces a hot key is cut into
-BLOCK = 32  # cut points searched per step of the two-step search
+PIECE = 2_000_000  # a key up to this many rows is one window group; a larger one is cut into pieces of about half as many
+SAMPLED = 32  # sampled rows a cut point stands for
+SHORT = 128  # leading characters of a text that decide on its piece
+
+
+@dataclass(frozen=True)
+class KeySizes:
+    """The keys that hold more than ``floor`` rows (``keys`` and ``_n``), or None where no key does."""
+
+    keys: tuple[str, ...]
+    floor: int
+    hot: DataFrame | None
 
 
 @dataclass(frozen=True)
@@ -71,22 +82,30 @@ def key_max(column: str) -> Step:
     return Step("max", column)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], floor: int = FLOOR, share: float = SHARE) -> DataFrame | None:
-    """Keys too large for one window group with their number of pieces, or None. At most ``1/share`` rows."""
+def measure_keys(df: DataFrame, keys: Sequence[str], floor: int = PIECE) -> KeySizes:
+    """Counts the rows per key in one job and returns the large keys: at most one per ``floor`` rows.
+
+    Take it where the key comes from, over the key columns of a table as read, and hand it down: joins to one row,
+    filters and columns added later leave it an upper bound. Counts are combined before the shuffle and exact; a
+    frequency sketch would ship as many bytes per task as it tracks keys, and still miss keys near the bound.
+    """
+    keys = list(keys)
     if not keys:
-        df, keys = df.withColumn("_all", F.lit(1)), ["_all"]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, top = counts.agg(F.sum("_n"), F.max("_n")).first()
-    if top is None or top <= floor:
-        return None
-    limit = max(floor, int(total * share))
-    # a key of n rows is cut into about 2 n / limit pieces: together at most 3 / share cut points
-    pieces = F.least(F.ceil(F.col("_n") * 2.0 / limit), F.lit(1 << 30)).cast("int").alias("_pieces")
-    rows = counts.where(F.col("_n") > limit).select(*keys, pieces).collect()
-    if not rows:
-        return None
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_pieces", T.IntegerType())])
-    return df.sparkSession.createDataFrame(rows, schema)
+        n = df.count()
+        return KeySizes((), floor, None if n <= floor else df.sparkSession.createDataFrame([(1, n)], "_all int, _n long"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > floor)
+    rows = counts.collect()
+    return KeySizes(tuple(keys), floor, df.sparkSession.createDataFrame(rows, counts.schema) if rows else None)
+
+
+def _same_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> Column:
+    """Joins on keys where null is a key like others; ``other`` has them as ``_k0``, ``_k1`` …"""
+    return reduce(lambda a, b: a & b, [df[k].eqNullSafe(other[f"_k{i}"]) for i, k in enumerate(keys)])
+
+
+def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+    return df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns])
 
 
 def _place(df: DataFrame, column: str) -> Column:
@@ -103,6 +122,40 @@ def _order_key(order: Sequence[str]) -> Column:
     return F.struct(*[c for o in order for c in (F.col(o).isNull(), F.col(o))])
 
 
+def _cut_key(df: DataFrame, order: Sequence[str]) -> Column:
+    """The order tuple with texts shortened: rows in order have such tuples in order, and cut points stay small.
+
+    Rows that differ only after a shortened text have one tuple, and so one piece.
+    """
+    parts, whole = [], F.lit(True)
+    for i, o in enumerate(order):
+        c = F.col(o)
+        if isinstance(df.schema[o].dataType, (T.StringType, T.BinaryType)):
+            short = F.coalesce(F.length(c) <= SHORT, F.lit(True))
+            values = [F.substring(c, 1, SHORT), ~short]
+        else:
+            short, values = F.lit(True), [c]
+        parts += [F.when(whole, v).alias(f"v{i}_{k}") for k, v in enumerate([c.isNull(), *values])]
+        whole = whole & short
+    return F.struct(*parts)
+
+
+def _cut_points(df: DataFrame, keys: Sequence[str], place: Column, hot: DataFrame, floor: int) -> DataFrame:
+    """Per large key (as ``_k0`` …) its sorted cut points ``_cuts``, and every ``_block``-th of them as ``_coarse``.
+
+    Each stands for about ``floor / 2`` rows, so there are two for each ``floor`` rows of the table at most.
+    """
+    rate = min(1.0, 2.0 * SAMPLED / floor)
+    large = _renamed(hot, keys)
+    ids = [f"_k{i}" for i in range(len(keys))]
+    drawn = df.where(F.rand(17) < rate).join(F.broadcast(large), _same_keys(df, large, keys)).select(*ids, place.alias("_at"))
+    ranked = drawn.withColumn("_r", F.row_number().over(Window.partitionBy(*ids).orderBy("_at")))
+    cuts = ranked.where(F.col("_r") % SAMPLED == 0).groupBy(*ids).agg(F.array_sort(F.array_distinct(F.collect_list("_at"))).alias("_cuts"))
+    fixed = df.sparkSession.createDataFrame(cuts.collect(), cuts.schema)  # drawn once: every use sees the same points
+    block = F.ceil(F.sqrt(F.size("_cuts"))).cast("int")
+    return fixed.withColumn("_block", block).withColumn("_coarse", F.filter("_cuts", lambda c, i: (i + 1) % F.col("_block") == 0))
+
+
 def _windowed(step: Step, up, down, whole) -> Column:
     before = up.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -126,52 +179,40 @@ def ordered_scan(
     order: Sequence[str],
     outputs: Mapping[str, Step],
     *,
-    floor: int = FLOOR,
-    share: float = SHARE,
-    segments: int = SEGMENTS,
+    floor: int = PIECE,
     bounded: bool = False,
-    hot: DataFrame | None = None,
+    sizes: KeySizes | None = None,
 ) -> DataFrame:
     """Add one column per entry of ``outputs``, computed per key in ``order`` (ascending, nulls last).
 
-    ``order`` must be total within a key; its first column should have many distinct values, as
-    hot keys are cut along it. ``bounded=True`` states that every key is known to stay small and
-    skips the size check; ``hot`` hands over the result of an earlier :func:`hot_keys`.
+    ``order`` must be total within a key, of any orderable types. A null key is a key like others.
+    ``sizes`` hands over :func:`measure_keys` of these keys or of some of them; without it they are
+    measured here, which reads ``df`` once more. ``bounded=True`` states that every key is known to
+    stay small. Where a key is cut, ``df`` is read four times: keep it if it is dear.
     """
     keys = list(keys)
+    if sizes is not None and sizes.hot is None and set(sizes.keys) <= set(keys) and (sizes.keys or not keys):
+        bounded = True  # small by fewer keys is small by more
+    if not bounded and (sizes is None or set(sizes.keys) != set(keys)):
+        sizes = measure_keys(df, keys, floor)
     if not keys:
         df, keys = df.withColumn("_all", F.lit(1)), ["_all"]
-    if hot is None and not bounded:
-        hot = hot_keys(df, keys, floor, share)
     asc = [F.col(o).asc_nulls_last() for o in order]
     desc = [F.col(o).desc_nulls_first() for o in order]
-    if hot is None:
+    if bounded or sizes.hot is None:
         w = Window.partitionBy(*keys)
         out = df.withColumns({n: _windowed(s, w.orderBy(*asc), w.orderBy(*desc), w) for n, s in outputs.items()})
         return out.drop("_all")
 
-    place = _place(df, order[0])
-    probs = [i / segments for i in range(1, segments)]
-    every = F.greatest(F.floor(F.lit(segments) / F.col("_pieces")), F.lit(1)).cast("int")
-    cut_rows = (
-        df.join(F.broadcast(hot), keys)
-        .groupBy(*keys, "_pieces")
-        .agg(F.percentile_approx(place, probs, 20_000).alias("_all_cuts"))
-        .select(*keys, F.array_distinct(F.filter("_all_cuts", lambda c, i: (i + 1) % every == 0)).alias("_cuts"))
-        .collect()
-    )
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
-    cuts = df.sparkSession.createDataFrame(cut_rows, schema).withColumn(
-        "_coarse", F.filter("_cuts", lambda c, i: (i + 1) % BLOCK == 0)
-    )
+    place = _cut_key(df, order)
+    cuts = _cut_points(df, keys, place, sizes.hot.select(*keys), sizes.floor)
     columns = df.columns
+    ids = [f"_k{i}" for i in range(len(keys))]
     # two short searches instead of one over all cut points of the key
-    block = F.size(F.filter("_coarse", lambda c: c <= place)) * BLOCK
-    within = F.size(F.filter(F.slice("_cuts", block + 1, F.lit(BLOCK)), lambda c: c <= place))
-    cut = df.join(F.broadcast(cuts), keys, "left").withColumn(
-        "_seg",
-        F.when(F.col("_cuts").isNull(), F.lit(0)).when(place.isNull(), F.lit(segments + 1)).otherwise(block + within),
-    )
+    before = F.size(F.filter("_coarse", lambda c: c <= place)) * F.col("_block")
+    within = F.size(F.filter(F.slice("_cuts", before + 1, F.col("_block")), lambda c: c <= place))
+    cut = df.join(F.broadcast(cuts), _same_keys(df, cuts, keys), "left").withColumn("_cut", F.col("_cuts").isNotNull())
+    cut = cut.withColumn("_seg", F.when(F.col("_cut"), before + within).otherwise(0)).drop("_cuts", "_coarse", "_block", *ids)
     key = _order_key(order)
     part: dict[str, Column] = {"_rows": F.count(F.lit(1))}
     for name, s in outputs.items():
@@ -192,10 +233,8 @@ def ordered_scan(
             part[f"_p_{name}"] = F.max(c)
         else:
             part[f"_p_{name}"] = F.sum(c)
-    parts = (
-        cut.where(F.col("_cuts").isNotNull()).groupBy(*keys, "_seg").agg(*[e.alias(n) for n, e in part.items()])
-    )
-    # at most 3 / share rows: the cut points of all hot keys
+    # a row per large key and piece: as few as there are cut points
+    parts = cut.where("_cut").groupBy(*keys, "_seg").agg(*[e.alias(n) for n, e in part.items()])
     wk = Window.partitionBy(*keys)
     earlier = wk.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     later = wk.orderBy(F.desc("_seg")).rowsBetween(Window.unboundedPreceding, -1)
@@ -213,8 +252,8 @@ def ordered_scan(
             "prod": lambda: F.product(p).over(earlier),
             "max": lambda: F.max(p).over(wk),
         }[s.kind]()
-    carries = parts.select(*keys, "_seg", *[e.alias(n) for n, e in carry.items()])
-    joined = cut.drop("_cuts", "_coarse").join(F.broadcast(carries), [*keys, "_seg"], "left")
+    carries = _renamed(parts.select(*keys, "_seg", *[e.alias(n) for n, e in carry.items()]).withColumnRenamed("_seg", "_at"), keys)
+    joined = cut.join(F.broadcast(carries), _same_keys(cut, carries, keys) & (cut["_seg"] == carries["_at"]) & cut["_cut"], "left")
     w = Window.partitionBy(*keys, "_seg")
     up, down = w.orderBy(*asc), w.orderBy(*desc)
     result: dict[str, Column] = {}

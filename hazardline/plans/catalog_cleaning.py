@@ -13,6 +13,7 @@ from hazardline.functions import dictionary as dic
 from hazardline.functions import text as X
 from hazardline.operators import fill, groups, scores, therapy
 from hazardline.operators.contracts import is_one_of_or_null
+from hazardline.operators.scans import measure_keys
 from hazardline.plans import bands, views
 from hazardline.plans.views import table
 from hazardline.session import shared_folder
@@ -56,8 +57,9 @@ FROM e WINDOW d AS (PARTITION BY record_id ORDER BY ts, event_id ROWS BETWEEN UN
 def fill_down_up(spark, folder):
     e = _gappy_events(spark, folder)
     order = ["ts", "event_id"]
-    once = fill.fill(e, down=["v"], up=["t"], order=order)
-    return fill.fill_both_ways(once, ["b"], order=order).select("event_id", "record_id", "v", "t", "b")
+    sizes = measure_keys(e.select("record_id"), ["record_id"])
+    once = fill.fill(e, down=["v"], up=["t"], order=order, sizes=sizes)
+    return fill.fill_both_ways(once, ["b"], order=order, sizes=sizes).select("event_id", "record_id", "v", "t", "b")
 
 
 @query("""
@@ -161,6 +163,37 @@ def rank_ids(spark, folder):
     return fill.rank_ids(table(spark, folder, "orders").select(F.col("o_custkey").alias("record_id")))
 
 
+@query("""
+SELECT id, dense_rank() OVER (ORDER BY id) AS pat_id FROM (SELECT DISTINCT l_returnflag || '-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey AS id FROM lineitem)
+""")
+def rank_text_ids(spark, folder):
+    """Ranks of text ids, cut into pieces at any scale: the pieces are made small."""
+    i = table(spark, folder, "lineitem")
+    ids = i.select(F.concat_ws("-", "l_returnflag", "l_orderkey", "l_linenumber", "l_partkey").alias("id"))
+    return fill.rank_ids(ids, "id", floor=5_000)
+
+
+@query("""
+WITH e AS (SELECT l_orderkey, l_linenumber, l_returnflag AS key, l_linestatus || CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS stamp, l_partkey,
+                  CASE WHEN l_orderkey % 5 = 0 THEN l_partkey END AS v, CASE WHEN l_orderkey % 7 = 0 THEN l_suppkey END AS t
+           FROM lineitem)
+SELECT l_orderkey, l_linenumber, last_value(v IGNORE NULLS) OVER d AS v, first_value(t IGNORE NULLS) OVER u AS t
+FROM e WINDOW d AS (PARTITION BY key ORDER BY stamp, l_orderkey, l_linenumber, l_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+              u AS (PARTITION BY key ORDER BY stamp, l_orderkey, l_linenumber, l_partkey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+""")
+def fill_text_order(spark, folder):
+    """Few large keys in the order of a text with few values, cut into pieces at any scale: the pieces are made small."""
+    i = table(spark, folder, "lineitem")
+    e = i.select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_returnflag").alias("record_id"),
+        F.concat("l_linestatus", F.col("l_shipdate").cast("date").cast("string")).alias("stamp"),
+        F.when(F.col("l_orderkey") % 5 == 0, F.col("l_partkey")).alias("v"),
+        F.when(F.col("l_orderkey") % 7 == 0, F.col("l_suppkey")).alias("t"),
+    )
+    out = fill.fill(e, down=["v"], up=["t"], order=["stamp", "l_orderkey", "l_linenumber", "l_partkey"], floor=2_000)
+    return out.select("l_orderkey", "l_linenumber", "v", "t")
+
+
 @query("""
 SELECT c_custkey AS record_id,
        translate(left(to_base64(unhex(sha256('s1' || c_custkey))), 12), '+/', '-_') AS record_id_new FROM customer

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hazardline.operators import fill, groups, impute, lines, quality, status, summary
 from hazardline.operators.contracts import completeness
+from hazardline.operators.scans import KeySizes
 from hazardline.plans import views
 from hazardline.plans.catalog_cleaning import _REGIMENS
 from hazardline.plans.views import table
@@ -162,8 +163,8 @@ _COLLAPSED_OUT = [
 
 @query(f"WITH {views.COLLAPSED.strip()} SELECT {', '.join(_COLLAPSED_OUT)} FROM collapsed")
 def collapse_lines(spark, folder):
-    made = views.grouped(spark, folder)
-    return lines.last_line(made, **views.line_scan(made)).select(*_COLLAPSED_OUT)
+    sizes = views.patient_sizes(spark, folder)
+    return lines.last_line(views.grouped(spark, folder, sizes), sizes=sizes).select(*_COLLAPSED_OUT)
 
 
 _EVENT_OUT = ["record_id", "treat_line", *[f"progression_event_date_{d}" for d in ("01", "15", "28")]]
@@ -171,8 +172,8 @@ _EVENT_OUT = ["record_id", "treat_line", *[f"progression_event_date_{d}" for d i
 
 @query(f"WITH {views.EVENTS.strip()} SELECT {', '.join(_EVENT_OUT)} FROM events_line")
 def progression_events(spark, folder):
-    made = views.grouped(spark, folder)
-    return lines.progression_events(made, **views.line_scan(made)).select(*_EVENT_OUT)
+    sizes = views.patient_sizes(spark, folder)
+    return lines.progression_events(views.grouped(spark, folder, sizes), sizes=sizes).select(*_EVENT_OUT)
 
 
 _GRID = [(a, b) for a in ("01", "15", "28") for b in ("01", "15", "28")]
@@ -264,11 +265,11 @@ def sample_join(spark, folder):
 # --- quality ------------------------------------------------------------------------------------
 
 
-def _rule_rows(spark: SparkSession, folder: str) -> DataFrame:
+def _rule_rows(spark: SparkSession, folder: str, sizes: KeySizes) -> DataFrame:
     """Records in entry order with coarse line numbers, so that the rules find something."""
     k, line = F.col("order_key"), F.col("treat_line")
     drugs = F.get(F.array(*[F.lit(r) for r in _REGIMENS[:5]]), (k % 5).cast("int"))
-    return views.lines(spark, folder).select(
+    return views.lines(spark, folder, sizes).select(
         "record_id",
         line.alias("cycle"),
         F.floor((line + k % 3) / 2).cast("int").alias("treat_line"),
@@ -312,8 +313,9 @@ UNION ALL SELECT 'no_line_no_watch', record_id, cycle, treat_line FROM n WHERE t
 UNION ALL SELECT 'has_last_progression', record_id, cycle, treat_line FROM n WHERE k % 8 = 0"""
 )
 def quality_rules(spark, folder):
-    r = _rule_rows(spark, folder)
-    out = [quality.sequence_rules(r), quality.row_rules(r)]
+    sizes = views.patient_sizes(spark, folder)
+    r = _rule_rows(spark, folder, sizes)
+    out = [quality.sequence_rules(r, sizes=sizes), quality.row_rules(r)]
     return quality.union_by_name([x.select("rule", "record_id", "cycle", "treat_line") for x in out])
 
 
@@ -322,7 +324,8 @@ def quality_rules(spark, folder):
     + "SELECT record_id, cycle, treat_line FROM n WHERE record_id IN (SELECT record_id FROM n WHERE nl > treat_line AND own <> nb)"
 )
 def line_differences(spark, folder):
-    return quality.line_differences(_rule_rows(spark, folder)).select("record_id", "cycle", "treat_line")
+    sizes = views.patient_sizes(spark, folder)
+    return quality.line_differences(_rule_rows(spark, folder, sizes), sizes=sizes).select("record_id", "cycle", "treat_line")
 
 
 @query(
@@ -332,7 +335,8 @@ SELECT n.record_id, cycle, treat_line, resorted, row_number() OVER (PARTITION BY
 FROM n JOIN u ON u.record_id = n.record_id"""
 )
 def resort_unsorted(spark, folder):
-    out = quality.resort_unsorted(_rule_rows(spark, folder), order=["cycle"])
+    sizes = views.patient_sizes(spark, folder)
+    out = quality.resort_unsorted(_rule_rows(spark, folder, sizes), order=["cycle"], sizes=sizes)
     return out.select("record_id", "cycle", "treat_line", "resorted", "sort_seq")
 
 

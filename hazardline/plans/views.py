@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardline.operators.scans import hot_keys, ordered_scan, position
+from hazardline.operators.scans import KeySizes, measure_keys, ordered_scan, position
 
 MONTH = 365.25 / 12
 
@@ -19,8 +19,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def lines(spark: SparkSession, folder: str) -> DataFrame:
+def patient_sizes(spark: SparkSession, folder: str) -> KeySizes:
+    """Patients with very many lines, counted on the id column as read. Whatever has a row per line or fewer takes it."""
+    return measure_keys(table(spark, folder, "orders").select(F.col("o_custkey").alias("record_id")), ["record_id"])
+
+
+def lines(spark: SparkSession, folder: str, sizes: KeySizes | None = None) -> DataFrame:
     """One row per order: ``record_id, treat_line, start, order_key, state, priority, price``."""
+    sizes = sizes or patient_sizes(spark, folder)
     orders = table(spark, folder, "orders").select(
         F.col("o_custkey").alias("record_id"),
         F.col("o_orderkey").alias("order_key"),
@@ -29,7 +35,7 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderpriority").alias("priority"),
         F.col("o_totalprice").alias("price"),
     )
-    return ordered_scan(orders, ["record_id"], ["start", "order_key"], {"treat_line": position()})
+    return ordered_scan(orders, ["record_id"], ["start", "order_key"], {"treat_line": position()}, sizes=sizes)
 
 
 LINES = """
@@ -89,12 +95,12 @@ def _variant(date: Column, key: Column, day: int) -> Column:
     return F.when(known, date).otherwise(F.make_date(F.year(date), F.month(date), F.lit(day)))
 
 
-def records(spark: SparkSession, folder: str) -> DataFrame:
+def records(spark: SparkSession, folder: str, sizes: KeySizes | None = None) -> DataFrame:
     """One row per line item with the dated variants a line needs.
 
     ``seq`` orders the records of a line (line number, part, supplier).
     """
-    line = lines(spark, folder)
+    line = lines(spark, folder, sizes)
     items = table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_key"),
         F.col("l_linenumber").alias("cycle"),
@@ -197,26 +203,20 @@ patient AS (
 )
 
 
-def grouped(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines formed from the records. The table is kept: what follows measures its largest patient."""
+def grouped(spark: SparkSession, folder: str, sizes: KeySizes | None = None) -> DataFrame:
+    """Lines formed from the records."""
     from hazardline.operators.lines import collapse_lines
 
-    narrow = records(spark, folder).drop("price", "quantity", "flag", "line_state", "ship", "order_key", "state")
-    return collapse_lines(narrow, tie=("cycle", "part", "supplier")).persist()
-
-
-def line_scan(lines_table: DataFrame) -> dict:
-    """The size check of the line table, for every ordered pass over it."""
-    found = hot_keys(lines_table, ["record_id"])
-    return {"bounded": True} if found is None else {"hot": found}
+    narrow = records(spark, folder, sizes).drop("price", "quantity", "flag", "line_state", "ship", "order_key", "state")
+    return collapse_lines(narrow, tie=("cycle", "part", "supplier"))
 
 
 def collapsed(spark: SparkSession, folder: str) -> DataFrame:
     """Lines with the patient's last line and status: the input of the survival times."""
     from hazardline.operators.lines import last_line
 
-    made = grouped(spark, folder)
-    return with_status(last_line(made, **line_scan(made)), spark, folder)
+    sizes = patient_sizes(spark, folder)
+    return with_status(last_line(grouped(spark, folder, sizes), sizes=sizes), spark, folder)
 
 
 def _pick(column: str, how: str) -> str:
@@ -263,9 +263,8 @@ def survival(spark: SparkSession, folder: str) -> DataFrame:
     """Lines with progression-free and overall survival."""
     from hazardline.operators.lines import last_line, os_line, pfs_line, progression_events
 
-    made = grouped(spark, folder)
-    scan = line_scan(made)
-    events = progression_events(last_line(made, **scan), **scan)
+    sizes = patient_sizes(spark, folder)
+    events = progression_events(last_line(grouped(spark, folder, sizes), sizes=sizes), sizes=sizes)
     return os_line(pfs_line(with_status(events, spark, folder)))
 
 

@@ -282,7 +282,7 @@ def test_resort_leaves_patients_with_missing_lines(spark):
     df = spark.createDataFrame([(1, 1, 2, 1), (1, 2, 1, 2), (2, 3, 1, 1), (2, 4, 2, 2), (3, 5, 2, 1), (3, 6, None, 2)], "record_id int, row_seq int, treat_line int, cycle int")
     got = rows(quality.resort_unsorted(df).orderBy("row_seq"), "resorted", "sort_seq")
     assert got == [(True, 2), (True, 1), (False, 1), (False, 2), (False, 1), (False, 2)]
-    hot = rows(quality.resort_unsorted(df, floor=1, share=0.5, segments=2).orderBy("row_seq"), "resorted", "sort_seq")
+    hot = rows(quality.resort_unsorted(df, floor=1).orderBy("row_seq"), "resorted", "sort_seq")
     assert hot == got
 
 
@@ -291,7 +291,7 @@ def test_quantiles_match_the_definition(spark):
 
     values = [3.0, 1.0, 4.0, 1.0, 5.0, 9.0, 2.0, 6.0, 5.0]
     df = spark.createDataFrame([("a", v) for v in values] + [("b", 7.0), ("b", None), ("b", float("nan"))], "g string, v double")
-    for kw in ({}, {"floor": 2, "share": 0.3, "segments": 3}):
+    for kw in ({}, {"floor": 2}):
         got = {r["g"]: r for r in summary.exact_quantiles(df, ["g"], "v", [0.1, 0.5, 0.75], **kw).collect()}
         assert [got["a"][f"q{i}"] for i in (1, 2, 3)] == pytest.approx(list(np.quantile(values, [0.1, 0.5, 0.75])))
         assert got["b"]["q2"] == 7.0

@@ -36,17 +36,17 @@ def collect(df):
 
 def test_segments_give_the_same_as_one_window(skewed):
     plain = collect(S.ordered_scan(skewed, ["k"], ["o", "tie"], STEPS, bounded=True))
-    cut = collect(S.ordered_scan(skewed, ["k"], ["o", "tie"], STEPS, floor=100, share=1 / 50, segments=16))
+    cut = collect(S.ordered_scan(skewed, ["k"], ["o", "tie"], STEPS, floor=100))
     assert plain == cut
 
 
-def test_hot_keys_finds_the_heavy_one_only(skewed):
-    assert [r[0] for r in S.hot_keys(skewed, ["k"], 100, 1 / 50).collect()] == ["hot"]
-    assert S.hot_keys(skewed, ["k"]) is None
+def test_measure_finds_the_heavy_one_only(skewed):
+    assert [tuple(r) for r in S.measure_keys(skewed, ["k"], 100).hot.collect()] == [("hot", 800)]
+    assert S.measure_keys(skewed, ["k"]).hot is None
 
 
 def test_scan_without_keys(skewed):
-    whole = S.ordered_scan(skewed, [], ["o", "tie"], {"pos": S.position()}, floor=100, segments=8)
+    whole = S.ordered_scan(skewed, [], ["o", "tie"], {"pos": S.position()}, floor=100)
     got = sorted(r["pos"] for r in whole.collect())
     assert got == list(range(1, 1201))
     assert "_all" not in whole.columns
@@ -54,7 +54,7 @@ def test_scan_without_keys(skewed):
 
 def test_result_does_not_depend_on_partitions(skewed):
     a = collect(S.ordered_scan(skewed.repartition(1), ["k"], ["o", "tie"], STEPS, bounded=True))
-    b = collect(S.ordered_scan(skewed.repartition(13), ["k"], ["o", "tie"], STEPS, floor=100, segments=5))
+    b = collect(S.ordered_scan(skewed.repartition(13), ["k"], ["o", "tie"], STEPS, floor=100))
     assert a == b
 
 
@@ -68,3 +68,41 @@ def test_broadcast_only_small(spark):
     assert "broadcast" in S.broadcast_small(spark.range(10), 10)._jdf.queryExecution().logical().toString().lower()
     big = S.broadcast_small(spark.range(11), 10)._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in big
+
+
+@pytest.mark.parametrize("order", ["text", "date", "stamp", "composite", "constant first"])
+def test_any_order_is_cut(spark, order):
+    rnd = random.Random(order)
+    rows = []
+    for i in range(900):
+        key = None if i % 3 else f"k{rnd.randrange(20)}"  # the large key is null
+        v = None if rnd.random() < 0.6 else f"v{i}"
+        a = rnd.choice([None, "", "z", "ab" * rnd.randrange(100), "ab" * 70 + str(i)])
+        rows.append((key, a, i % 50, "same", i, v, rnd.randrange(5), 1 + rnd.random() / 1000))
+    df = spark.createDataFrame(rows, "k string, a string, d int, c string, tie int, v string, n int, f double")
+    df = df.withColumns({"date": F.date_add(F.lit("1960-01-01").cast("date"), F.col("d")), "stamp": F.expr("timestamp_ntz '2020-01-01 00:00:00' + make_dt_interval(d)")})
+    by = {"text": ["a"], "date": ["date"], "stamp": ["stamp"], "composite": ["n", "a", "date"], "constant first": ["c", "a"]}[order] + ["tie"]
+    df = df.persist()
+    plain = S.ordered_scan(df, ["k"], by, STEPS, bounded=True)
+    cut = S.ordered_scan(df, ["k"], by, STEPS, floor=100)
+    one, two = (sorted((tuple(r) for r in x.withColumn("prod", F.round("prod", 9)).select("k", "tie", *STEPS).collect()), key=str) for x in (plain, cut))
+    assert one == two
+
+
+def test_pieces_have_an_absolute_size(spark):
+    df = spark.range(40_000).select(F.lit("same").alias("c"), F.concat(F.lit("id"), "id").alias("t"))
+    place = S._cut_key(df.withColumn("_all", F.lit(1)), ["c", "t"])
+    cuts = S._cut_points(df.withColumn("_all", F.lit(1)), ["_all"], place, spark.createDataFrame([(1,)], "_all int"), 1000).first()["_cuts"]
+    assert 60 <= len(cuts) <= 100  # about 500 rows each
+    ranked = sorted(f"id{i}" for i in range(40_000))
+    at = [ranked.index(c["v1_1"]) for c in cuts]
+    assert max(b - a for a, b in zip([0, *at], [*at, 40_000], strict=True)) < 1500
+
+
+def test_measured_once_and_handed_down(skewed, monkeypatch):
+    sizes = S.measure_keys(skewed, ["k"], 100)
+    plain = collect(S.ordered_scan(skewed, ["k"], ["o", "tie"], STEPS, bounded=True))
+    monkeypatch.setattr(S, "measure_keys", lambda *a: pytest.fail("measured again"))
+    assert collect(S.ordered_scan(skewed, ["k"], ["o", "tie"], STEPS, sizes=sizes)) == plain
+    small = S.KeySizes(("k",), 5000, None)
+    S.ordered_scan(skewed, ["k", "n"], ["o", "tie"], {"pos": S.position()}, sizes=small)
