@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hazardline.llm import bpe, decontam, feistel, imatch, langid, linedup, mil, neardup, pack, runs, shard, warc
+from hazardline.llm import bpe, decontam, feistel, imatch, langid, linedup, mil, neardup, pack, repair, runs, shard, warc
 from hazardline.llm.common import table
 
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
@@ -63,6 +63,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil.score_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations after planted damage, with what ails them and their cheapest repair."""
+    return repair.report(table(spark, sf_dir, "conversations"))
+
+
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as WARC records, written as whole gzip streams, normalised to a member each, and read back."""
     return warc.round_trip(table(spark, sf_dir, "pages"))
@@ -84,6 +89,7 @@ CORPUS_QUERIES: dict[str, Query] = {
     "op8_pack": (op8_pack, None),
     "op9_line_dedup": (op9_line_dedup, linedup.REPORT_SQL),
     "op10_quality": (op10_quality, None),
+    "op11_repair": (op11_repair, repair.report_sql()),
     "op12_warc": (op12_warc, warc.ROUND_TRIP_SQL),
     "op13_periodic_runs": (op13_periodic_runs, None),
 }
