@@ -17,17 +17,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardline.operators.kaplan_meier import Z95, chi2_sf, kaplan_meier
-from hazardline.operators.scans import PIECE, ordered_scan, preceding, remaining_sum, running_sum
+from hazardline.operators.scans import (
+    PIECE,
+    KeySizes,
+    measure_keys,
+    ordered_scan,
+    position,
+    preceding,
+    remaining_sum,
+    running_product,
+    running_sum,
+)
+from hazardline.operators.tiles import Blocks, everywhere, point_blocks, spread
 
 # --- fixed values -----------------------------------------------------------------------------
 TOLERANCE = 1e-9
 MAX_STEPS = 25
 TIE_CHUNK = 4096  # tied deaths summed in one row; more are spread over rows
 TIE_SUMS = ("tl", "a1", "a2", "b0", "b1", "b2")
-TT_LEVELS = 16  # up to this many values of a time-varying covariate get their own risk-set sums
+HALVINGS = 20
 HR_POINTS = 200
-BAND_ROWS = 200_000  # rows aimed at per band of score or time
-MAX_CUTS = 500  # the grid of band counts stays under a million cells
 # ----------------------------------------------------------------------------------------------
 
 
@@ -59,6 +68,7 @@ class CoxFit:
     spark: object = field(repr=False)
     scan: dict = field(default_factory=dict, repr=False)
     heavy: bool = False
+    converged: bool = True
 
     @property
     def scaled_beta(self) -> np.ndarray:
@@ -68,6 +78,10 @@ class CoxFit:
     def scaled_vcov(self) -> np.ndarray:
         return self.vcov * np.outer(self.scale, self.scale)
 
+    def release(self) -> None:
+        """Gives the kept design back; what is on the driver (coefficients, tests) stays."""
+        self.design.unpersist()
+
 
 def _total(parts: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a + b, parts) if parts else F.lit(0.0)
@@ -132,18 +146,37 @@ def _risk_sums(design: DataFrame, beta: np.ndarray, p: int, scan: dict) -> DataF
     """One row per event time: risk-set moments ``s*``, moments over the deaths ``d*``, death counts
     and covariate sums. Plain case: covariates fixed in time.
     """
-    xb = " + ".join(f"{_number(v)} * x{k}" for k, v in enumerate(beta)) or "0D"
-    rows = design.selectExpr("*", f"{xb} AS xb").selectExpr(
+    rows = design.selectExpr("*", f"{_linear_sql(beta)} AS xb")
+    return _summed_up(rows, [], p, scan)
+
+
+def _risk_sums_of_models(design: DataFrame, betas: Mapping[int, np.ndarray], p: int, scan: dict) -> DataFrame:
+    """As :func:`_risk_sums` for several coefficient vectors at once, with the ``model`` each row is of.
+
+    A row meets each model inside the map side, so the design is read once for all.
+    """
+    listed = ", ".join(f"struct({m} AS model, {_linear_sql(b)} AS xb)" for m, b in betas.items())
+    rows = design.selectExpr("*", f"explode(array({listed})) AS _m").selectExpr("*", "_m.model AS model", "_m.xb AS xb")
+    return _summed_up(rows, ["model"], p, scan)
+
+
+def _linear_sql(beta: np.ndarray) -> str:
+    return " + ".join(f"{_number(v)} * x{k}" for k, v in enumerate(beta)) or "0D"
+
+
+def _summed_up(rows: DataFrame, keys: list[str], p: int, scan: dict) -> DataFrame:
+    rows = rows.selectExpr(
         "*", "exp(xb) * w AS e", "CASE WHEN event = 1 THEN exp(xb) * w ELSE 0D END AS f", "CASE WHEN event = 1 THEN w ELSE 0D END AS l"
     )
     risk_set = _moment_sql("e", p, "s")
     at_time = _moment_sql("f", p, "d") | {"deaths": "l", "dxb": "l * xb"} | {f"dx{k}": f"l * x{k}" for k in range(p)}
-    per_time = rows.groupBy("time").agg(*[F.expr(f"sum({e}) AS {n}") for n, e in (risk_set | at_time).items()])
+    per_time = rows.groupBy(*keys, "time").agg(*[F.expr(f"sum({e}) AS {n}") for n, e in (risk_set | at_time).items()])
     if scan.get("bounded"):
-        suffix = [f"sum({n}) OVER (ORDER BY time DESC) AS {n}" for n in risk_set]
-        return per_time.selectExpr("time", *at_time, *suffix).where("deaths > 0")
-    risk = ordered_scan(per_time, [], ["time"], {f"r_{n}": remaining_sum(n) for n in risk_set}, **scan)
-    return risk.selectExpr("time", *at_time, *[f"r_{n} AS {n}" for n in risk_set]).where("deaths > 0")
+        by = f"PARTITION BY {', '.join(keys)} " if keys else ""
+        suffix = [f"sum({n}) OVER ({by}ORDER BY time DESC) AS {n}" for n in risk_set]
+        return per_time.selectExpr(*keys, "time", *at_time, *suffix).where("deaths > 0")
+    risk = ordered_scan(per_time, keys, ["time"], {f"r_{n}": remaining_sum(n) for n in risk_set}, **scan)
+    return risk.selectExpr(*keys, "time", *at_time, *[f"r_{n} AS {n}" for n in risk_set]).where("deaths > 0")
 
 
 def _tie_sum(s0: Column, d0: Column, deaths: Column, first: Column, last: Column) -> Column:
@@ -176,21 +209,32 @@ def _with_ties(risk: DataFrame, heavy: bool) -> DataFrame:
     if not heavy:
         out = risk.withColumn("_t", _tie_sum(s0, d0, d, F.lit(0).cast("long"), last))
         return out.selectExpr(*risk.columns, *[f"_t.{n} AS {n}" for n in TIE_SUMS])
+    keys = [c for c in ("model", "time") if c in risk.columns]
     starts = F.sequence(F.lit(0).cast("long"), last, F.lit(TIE_CHUNK).cast("long"))
-    chunks = risk.select("time", "s0", "d0", "deaths", F.explode(starts).alias("_from")).repartition("time", "_from")
+    chunks = risk.select(*keys, "s0", "d0", "deaths", F.explode(starts).alias("_from")).repartition(*keys, "_from")
     end = F.least(F.col("_from") + TIE_CHUNK - 1, last)
-    summed = chunks.select("time", _tie_sum(s0, d0, d, F.col("_from"), end).alias("t"))
-    return risk.join(summed.groupBy("time").agg(*[F.sum(f"t.{n}").alias(n) for n in TIE_SUMS]), "time")
+    summed = chunks.select(*keys, _tie_sum(s0, d0, d, F.col("_from"), end).alias("t"))
+    return risk.join(summed.groupBy(*keys).agg(*[F.sum(f"t.{n}").alias(n) for n in TIE_SUMS]), keys)
 
 
-def _newton_row(risk: DataFrame, p: int, heavy: bool) -> dict:
-    """Log-likelihood, score and information as one row."""
+def _newton_sums(p: int) -> list[str]:
+    """Log-likelihood, score and information as sums over event times."""
     aggs = ["sum(dxb - tl) AS ll", "sum(deaths) AS events"]
     aggs += [f"sum(dx{k} - s1_{k} * a1 + d1_{k} * a2) AS u{k}" for k in range(p)]
     for j, k in _pairs(p):
         product = f"s1_{j} * s1_{k} * b0 - (s1_{j} * d1_{k} + d1_{j} * s1_{k}) * b1 + d1_{j} * d1_{k} * b2"
         aggs.append(f"sum(s2_{j}_{k} * a1 - d2_{j}_{k} * a2 - ({product})) AS i{j}_{k}")
-    return _with_ties(risk, heavy).selectExpr(*aggs).first().asDict()
+    return aggs
+
+
+def _newton_row(risk: DataFrame, p: int, heavy: bool) -> dict:
+    return _with_ties(risk, heavy).selectExpr(*_newton_sums(p)).first().asDict()
+
+
+def _newton_rows(risk: DataFrame, p: int, heavy: bool) -> dict[int, dict]:
+    """The row of each model."""
+    rows = _with_ties(risk, heavy).groupBy("model").agg(*[F.expr(e) for e in _newton_sums(p)]).collect()
+    return {r["model"]: r.asDict() for r in rows}
 
 
 def _unpack(row: dict, p: int) -> tuple[float, np.ndarray, np.ndarray]:
@@ -201,28 +245,70 @@ def _unpack(row: dict, p: int) -> tuple[float, np.ndarray, np.ndarray]:
     return row["ll"], u, info
 
 
-def _newton(evaluate: Callable[[np.ndarray], dict], p: int):
-    """Newton steps with step halving until the likelihood settles."""
-    beta = np.zeros(p)
-    row = evaluate(beta)
-    ll, u, info = _unpack(row, p)
-    ll0, score = ll, float(u @ np.linalg.pinv(info) @ u) if p else 0.0
-    steps = 0
-    while p and steps < MAX_STEPS:
-        steps += 1
-        move = np.linalg.pinv(info) @ u
-        candidate, halvings = beta + move, 0
-        row_new = evaluate(candidate)
-        while (not math.isfinite(row_new["ll"]) or row_new["ll"] < ll - abs(ll) * 1e-12) and halvings < 20:
-            halvings += 1
-            candidate = beta + move / 2**halvings
-            row_new = evaluate(candidate)
-        settled = abs(row_new["ll"] - ll) <= TOLERANCE * max(abs(row_new["ll"]), 1.0)
-        beta, row = candidate, row_new
-        ll, u, info = _unpack(row, p)
-        if settled:
-            break
-    return beta, info, ll0, ll, score, steps, row["events"]
+@dataclass
+class _Search:
+    """One model on its way: coefficients, what is known there, and the step being tried."""
+
+    beta: np.ndarray
+    free: np.ndarray  # numbers of the terms in the model
+    ll: float
+    u: np.ndarray
+    info: np.ndarray
+    events: float
+    move: np.ndarray | None = None
+    halvings: int = 0
+    steps: int = 0
+    converged: bool = False
+    done: bool = False
+
+    def candidate(self) -> np.ndarray:
+        if self.move is None:
+            self.steps += 1
+            self.move = np.zeros_like(self.beta)
+            self.move[self.free] = np.linalg.pinv(self.info[np.ix_(self.free, self.free)]) @ self.u[self.free]
+        return self.beta + self.move / 2**self.halvings
+
+    def take(self, beta: np.ndarray, row: dict) -> None:
+        """A step is taken where it raises the likelihood, ends the search where it no longer changes it, else is halved."""
+        ll, u, info = _unpack(row, len(beta))
+        known = ll is not None and math.isfinite(ll)
+        self.converged = known and abs(ll - self.ll) <= TOLERANCE * max(abs(ll), 1.0)
+        if self.converged or known and ll > self.ll:
+            self.beta, self.ll, self.u, self.info, self.move, self.halvings = beta, ll, u, info, None, 0
+            self.done = self.converged or self.steps >= MAX_STEPS
+        else:
+            self.halvings += 1
+            self.done = self.halvings > HALVINGS
+
+
+def _newton(
+    evaluate: Callable[[dict[int, np.ndarray]], dict[int, dict]], starts: Sequence[np.ndarray], free: Sequence[Sequence[int]]
+) -> tuple[list[_Search], list[tuple[float, float]]]:
+    """Newton steps with step halving for several models, all advanced by one evaluation a step.
+
+    Each model moves the terms in ``free`` and leaves the others where they start. Also returns the log-likelihood and the
+    score statistic at the start.
+    """
+    rows = evaluate(dict(enumerate(starts)))
+    models, at_start = [], []
+    for m, (beta, terms) in enumerate(zip(starts, free, strict=True)):
+        ll, u, info = _unpack(rows[m], len(beta))
+        f = np.array(list(terms), int)
+        models.append(_Search(np.array(beta, float), f, ll, u, info, rows[m]["events"], converged=not len(f), done=not len(f)))
+        at_start.append((ll, float(u[f] @ np.linalg.pinv(info[np.ix_(f, f)]) @ u[f]) if len(f) else 0.0))
+    while asked := {m: s.candidate() for m, s in enumerate(models) if not s.done}:
+        rows = evaluate(asked)
+        for m, beta in asked.items():
+            models[m].take(beta, rows[m])
+    return models, at_start
+
+
+def _settled(model: _Search, unsettled: str) -> bool:
+    if unsettled not in ("error", "return"):
+        raise ValueError("unsettled is 'error' or 'return'")
+    if not model.converged and unsettled == "error":
+        raise ValueError(f"the model did not settle in {model.steps} steps")
+    return model.converged
 
 
 def _prepare(
@@ -265,23 +351,25 @@ def _prepare(
 
 
 def cox_fit(
-    df: DataFrame, time: str, event: str, covariates: Sequence[str], levels: Mapping[str, Sequence[str]] | None = None
+    df: DataFrame, time: str, event: str, covariates: Sequence[str], levels: Mapping[str, Sequence[str]] | None = None,
+    unsettled: str = "error",
 ) -> CoxFit:
     """Fit a proportional hazards model on the complete rows.
 
     Covariates named in ``levels`` are factors, with the first level as reference; others are
-    numeric.
+    numeric. A fit that does not settle in ``MAX_STEPS`` steps is an error, or with
+    ``unsettled="return"`` is returned with ``converged`` false.
     """
     levels = levels or {}
     terms, levels, design, mean, scale, n, scan, heavy = _prepare(df, time, event, covariates, levels, None)
     p = len(terms)
-    beta, info, ll0, ll, score, steps, events = _newton(
-        lambda b: _newton_row(_risk_sums(design, b, p, scan), p, heavy), p
+    [model], [(ll0, score)] = _newton(
+        lambda betas: {0: _newton_row(_risk_sums(design, betas[0], p, scan), p, heavy)}, [np.zeros(p)], [range(p)]
     )
-    vcov = np.linalg.pinv(info) if p else info
+    vcov = np.linalg.pinv(model.info) if p else model.info
     return CoxFit(
-        terms, beta / scale, vcov / np.outer(scale, scale), ll0, ll, score, steps, n, int(events), time, event,
-        list(covariates), levels, mean, scale, design, df.sparkSession, scan, heavy,
+        terms, model.beta / scale, vcov / np.outer(scale, scale), ll0, model.ll, score, model.steps, n, int(model.events), time,
+        event, list(covariates), levels, mean, scale, design, df.sparkSession, scan, heavy, _settled(model, unsettled),
     )
 
 
@@ -309,104 +397,46 @@ def covariance(fit: CoxFit) -> DataFrame:
     return fit.spark.createDataFrame(rows, "term1 string, term2 string, covariance double")
 
 
-def concordance_counts(fit: CoxFit, cuts: int | None = None) -> dict[str, float]:
+def concordance_counts(fit: CoxFit) -> dict[str, float]:
     """Concordant, discordant and tied pairs of risk score and time, exactly.
 
-    A pair counts when the shorter time ends in an event (at equal times: event against censored).
-    Rows with equal time and score are merged, then the plane is cut at quantiles of score and of
-    time. Pairs in different cells both ways come from prefix sums over the grid of cell counts;
-    pairs that share a score band or a time band are counted inside that band. Every quantile value
-    is a band of its own, so one heavy score or time never meets others in its band.
+    A pair counts when the shorter time ends in an event (at equal times: event against censored). Rows of equal time and
+    score are merged and ranked by score, then time. Of two ranks the lower one differs first at one bit: it has a 0 where
+    the higher has a 1, after equal leading bits. So each row joins, once per bit, the group of its leading bits; the groups
+    are summed per time before the shuffle, and a suffix sum over times counts the pairs. Groups of many bits in common are
+    small, those of few have one row per time; nothing is held per score, and nothing but three sums reaches the driver.
     """
     p = len(fit.terms)
     score = _linear(fit.scaled_beta, [F.col(f"x{k}") for k in range(p)])
+    dead = F.col("event") == 1
     merged = (
         fit.design.withColumn("s", F.round(score, 12))
         .groupBy("time", "s")
-        .agg(
-            F.sum(F.when(F.col("event") == 1, F.col("w")).otherwise(0.0)).alias("d"),
-            F.sum(F.when(F.col("event") == 1, 0.0).otherwise(F.col("w"))).alias("c"),
-        )
-        .persist()
-    )
-    if cuts is None:
-        cuts = min(max(merged.count() // BAND_ROWS, 8), MAX_CUTS)
-    probs = [i / cuts for i in range(1, cuts)]
-    q = merged.agg(
-        F.array_distinct(F.percentile_approx("s", probs, 100_000)), F.array_distinct(F.percentile_approx("time", probs, 100_000))
-    ).first()
-
-    def band(c: str, edges: Sequence[float]) -> Column:
-        """2 * (edges below) + 1 on an edge: each edge value has its own odd band."""
-        arr = F.array(*[F.lit(float(x)) for x in edges])
-        below = F.size(F.filter(arr, lambda x: x < F.col(c)))
-        return below * 2 + F.array_contains(arr, F.col(c)).cast("int")
-
-    cells = merged.withColumns({"sb": band("s", q[0]), "tb": band("time", q[1])}).persist()
-    # pairs of an event with everything at risk after it, whatever the score
-    per_time = cells.groupBy("time").agg(F.sum("d").alias("d"), F.sum("c").alias("c"))
-    after = ordered_scan(
-        per_time.withColumn("m", F.col("d") + F.col("c")), [], ["time"], {"rest": remaining_sum("m")}, **fit.scan
-    )
-    comparable = after.agg(F.sum(F.col("d") * (F.col("rest") - F.col("d")))).first()[0] or 0.0
-    # pairs with equal score
-    per_score = cells.groupBy("s", "time").agg(F.sum("d").alias("d"), F.sum("c").alias("c"))
-    rest = ordered_scan(
-        per_score.withColumn("m", F.col("d") + F.col("c")), ["s"], ["time"], {"rest": remaining_sum("m")}
+        .agg(F.sum(F.when(dead, F.col("w")).otherwise(0.0)).alias("d"), F.sum(F.when(dead, 0.0).otherwise(F.col("w"))).alias("c"))
     )
-    tied = rest.agg(F.sum(F.col("d") * (F.col("rest") - F.col("d")))).first()[0] or 0.0
-    # later time band and lower score band: the grid has at most (2*cuts)^2 cells
-    grid = cells.groupBy("sb", "tb").agg(F.sum("d").alias("d"), F.sum(F.col("d") + F.col("c")).alias("m")).collect()
-    ns, nt = 2 * len(q[0]) + 2, 2 * len(q[1]) + 2
-    m, d = np.zeros((ns, nt)), np.zeros((ns, nt))
-    for r in grid:
-        m[r["sb"], r["tb"]], d[r["sb"], r["tb"]] = r["m"], r["d"]
-    lower_later = np.zeros((ns + 1, nt + 1))
-    lower_later[1:, :nt] = np.cumsum(np.cumsum(m[:, ::-1], axis=1)[:, ::-1], axis=0)
-    far = float((d * lower_later[:ns, 1 : nt + 1]).sum())
-
-    def inside(pdf, key: str):
-        import pandas as pd
-
-        ranks = np.unique(pdf[key].to_numpy(), return_inverse=True)[1]
-        t, dd = pdf["time"].to_numpy(), pdf["d"].to_numpy()
-        cc = pdf["m"].to_numpy() - dd
-        zero = np.zeros(len(t))
-        # latest first; at one time the censored enter, then the events ask, then the events enter
-        kind = np.repeat([0, 1, 2], len(t))
-        order = np.lexsort((kind, -np.tile(t, 3)))
-        rank = np.tile(ranks, 3)[order]
-        enter = np.concatenate([cc, zero, dd])[order]
-        ask = np.concatenate([zero, dd, zero])[order]
-        total = 0.0
-        # a lower rank differs first at one bit: count per bit, within equal leading bits
-        for bit in range(int(ranks.max()).bit_length()):
-            lead, one = rank >> (bit + 1), (rank >> bit) & 1
-            by = np.argsort(lead, kind="stable")
-            run = np.cumsum(np.where(one[by] == 0, enter[by], 0.0))
-            starts = np.flatnonzero(np.r_[True, lead[by][1:] != lead[by][:-1]])
-            sizes = np.diff(np.r_[starts, len(by)])
-            before = np.where(starts > 0, run[starts - 1], 0.0)
-            total += float((np.where(one[by] == 1, ask[by], 0.0) * (run - np.repeat(before, sizes))).sum())
-        return pd.DataFrame({"pairs": [total]})
-
-    with_m = cells.withColumn("m", F.col("d") + F.col("c"))
-    # same score band, both orders of time: a band of one score value holds no concordant pair
-    same_score = (
-        with_m.where(F.col("sb") % 2 == 0)
-        .select("sb", "time", "s", "d", "m")
-        .groupBy("sb")
-        .applyInPandas(lambda g: inside(g, "s"), "pairs double")
+    # equal scores are ranked by time, so a later row never ranks below an earlier one of its score
+    ranked = ordered_scan(merged, [], ["s", "time"], {"_rank": position()}).withColumn("m", F.col("d") + F.col("c")).persist()
+    rows = ranked.agg(F.max("_rank")).first()[0] or 0
+
+    def later_pairs(groups: DataFrame, keys: list[str], asks: str, same: Column) -> float:
+        """Sum over groups of ``asks`` at a time times the ``m`` at later times and ``same`` at its own."""
+        after = ordered_scan(groups, keys, ["time"], {"_rest": remaining_sum("m")}, **fit.scan)
+        return after.agg(F.sum(F.col(asks) * (F.col("_rest") - F.col("m") + same))).first()[0] or 0.0
+
+    bits = F.sequence(F.lit(0), F.lit(max(int(rows).bit_length() - 1, 0)))
+    split = ranked.withColumn("bit", F.explode(bits))
+    shifted = F.expr("shiftright(_rank, bit)")
+    one = (shifted % 2) == 1
+    groups = split.groupBy("bit", F.expr("shiftright(_rank, bit + 1)").alias("lead"), "time").agg(
+        F.sum(F.when(one, F.col("d")).otherwise(0.0)).alias("ask"),
+        F.sum(F.when(one, 0.0).otherwise(F.col("m"))).alias("m"),
+        F.sum(F.when(one, 0.0).otherwise(F.col("c"))).alias("same"),
     )
-    # same time band, different score band
-    same_time = (
-        with_m.groupBy("tb", "time", "sb")
-        .agg(F.sum("d").alias("d"), F.sum("m").alias("m"))
-        .groupBy("tb")
-        .applyInPandas(lambda g: inside(g, "sb"), "pairs double")
-    )
-    near = same_score.unionByName(same_time).agg(F.sum("pairs")).first()[0] or 0.0
-    concordant = far + near
+    concordant = later_pairs(groups, ["bit", "lead"], "ask", F.col("same"))
+    tied = later_pairs(ranked.select("s", "time", "d", "c", "m"), ["s"], "d", F.col("c"))
+    per_time = ranked.groupBy("time").agg(F.sum("d").alias("d"), F.sum("c").alias("c"), F.sum("m").alias("m"))
+    comparable = later_pairs(per_time, [], "d", F.col("c"))
+    ranked.unpersist()
     return {
         "concordant": concordant,
         "discordant": comparable - tied - concordant,
@@ -415,8 +445,8 @@ def concordance_counts(fit: CoxFit, cuts: int | None = None) -> dict[str, float]
     }
 
 
-def concordance(fit: CoxFit, **kw) -> float:
-    c = concordance_counts(fit, **kw)
+def concordance(fit: CoxFit) -> float:
+    c = concordance_counts(fit)
     return (c["concordant"] + c["tied_risk"] / 2) / c["comparable"] if c["comparable"] else math.nan
 
 
@@ -435,24 +465,28 @@ def global_tests(fit: CoxFit, with_concordance: bool = True) -> DataFrame:
     )
 
 
-def variable_tests(
-    df: DataFrame, fit: CoxFit
-) -> DataFrame:
-    """Likelihood-ratio test per variable, by refitting without it on the same complete rows."""
-    rows_used = complete_cases(df, fit.time, fit.event, fit.variables, fit.levels)
+def variable_tests(fit: CoxFit) -> DataFrame:
+    """Likelihood-ratio test per variable: the model without it, on the same complete rows.
+
+    All reduced models move together, one aggregation over the kept design a step, from the full model's coefficients.
+    """
+    p = len(fit.terms)
+    free = [[k for k, t in enumerate(fit.terms) if t.variable != v] for v in fit.variables]
+    starts = [np.where(np.isin(np.arange(p), f), fit.scaled_beta, 0.0) for f in free]
+    models, _ = _newton(
+        lambda betas: _newton_rows(_risk_sums_of_models(fit.design, betas, p, fit.scan), p, fit.heavy), starts, free
+    )
     rows = []
-    for v in fit.variables:
-        others = [x for x in fit.variables if x != v]
-        reduced = cox_fit(rows_used, fit.time, fit.event, others, {k: fit.levels[k] for k in others if k in fit.levels})
-        lr = 2 * (fit.loglik - reduced.loglik)
-        dof = len(fit.terms) - len(reduced.terms)
+    for v, model in zip(fit.variables, models, strict=True):
+        _settled(model, "error")
+        lr, dof = 2 * (fit.loglik - model.ll), p - len(model.free)
         rows.append((v, float(lr), dof, chi2_sf(lr, dof)))
     return fit.spark.createDataFrame(rows, "variable string, lr double, df int, global_p double")
 
 
-def cox_table(df: DataFrame, fit: CoxFit) -> DataFrame:
+def cox_table(fit: CoxFit) -> DataFrame:
     """Hazard ratio, interval and p per term, with the global p of its variable."""
-    return coefficients(fit).join(variable_tests(df, fit).select("variable", "global_p"), "variable", "left")
+    return coefficients(fit).join(variable_tests(fit).select("variable", "global_p"), "variable", "left")
 
 
 def forest_rows(df: DataFrame, fit: CoxFit) -> DataFrame:
@@ -499,81 +533,48 @@ def log_time(x: Column, t: Column) -> Column:
     return x * F.log1p(t)
 
 
-def _tt_by_level(
-    design: DataFrame, beta: np.ndarray, p: int, values: Sequence[float], tt: Callable[[Column, Column], Column], scan: dict
+def _tt_sums(
+    design: DataFrame, beta: np.ndarray, p: int, blocks: Blocks, tt: Callable[[Column, Column], Column], sizes: KeySizes
 ) -> DataFrame:
     """Risk sums with one time-varying term, from suffix sums per value of its covariate.
 
-    Rows of one value share the factor exp(b * tt(value, t)), so the risk set at t is a weighted
-    sum of per-value suffix sums and no row is repeated per event time.
+    Rows of one value share the factor exp(b * tt(value, t)), so the risk set at t is a weighted sum of the values' suffix
+    sums there. A suffix sum holds from the value's time before it up to its own, and meets the event times in between, in
+    tiles. So each value meets each event time once at most: few values cost their number times the event times, and a value
+    per row costs what the definition asks for.
     """
     xs = [F.col(f"x{k}") for k in range(p)]
     xb = _linear(beta[:p], xs)
-    e = F.exp(xb) * F.col("w")
-    dead = F.col("event") == 1
-    sums: dict[str, Column] = {}
-    for i, v in enumerate(values):
-        here = F.col("z") == F.lit(v)
-        sums |= _moments(F.when(here, e).otherwise(0.0), xs, f"s{i}v")
-        sums |= _moments(F.when(here & dead, e).otherwise(0.0), xs, f"d{i}v")
-        sums[f"n{i}v"] = F.sum(F.when(here & dead, F.col("w")).otherwise(0.0))
+    e, dead = F.exp(xb) * F.col("w"), F.col("event") == 1
     lived = F.when(dead, F.col("w")).otherwise(0.0)
-    sums |= {"deaths": F.sum(lived), "base_xb": F.sum(lived * xb)}
-    sums |= {f"dx{k}": F.sum(lived * x) for k, x in enumerate(xs)}
-    per_time = design.groupBy("time").agg(*[c.alias(n) for n, c in sums.items()])
+    sums = _moments(e, xs, "s") | _moments(F.when(dead, e).otherwise(0.0), xs, "d")
+    sums |= {"deaths": F.sum(lived), "dxb": F.sum(lived * xb)} | {f"dx{k}": F.sum(lived * x) for k, x in enumerate(xs)}
+    cells = design.groupBy("z", "time").agg(*[c.alias(n) for n, c in sums.items()])
     suffix = [n for n in sums if n[0] == "s"]
-    risk = ordered_scan(per_time, [], ["time"], {f"r_{n}": remaining_sum(n) for n in suffix}, **scan)
-    risk = risk.drop(*suffix).withColumnsRenamed({f"r_{n}": n for n in suffix}).where("deaths > 0")
+    steps = {f"r_{n}": remaining_sum(n) for n in suffix} | {"_before": preceding("time")}
+    live = ordered_scan(cells, ["z"], ["time"], steps, sizes=sizes).drop(*suffix).withColumnsRenamed({f"r_{n}": n for n in suffix})
     b = float(beta[p])
-    factor = [tt(F.lit(float(v)), F.col("time")) for v in values]
-    risk = risk.withColumns({f"f{i}v": f for i, f in enumerate(factor)})
-    risk = risk.withColumns({f"e{i}v": F.exp(F.lit(b) * F.col(f"f{i}v")) for i in range(len(values))})
-
-    def mix(prefix: str, name: str, power: int) -> Column:
-        parts = []
-        for i in range(len(values)):
-            part = F.col(f"e{i}v") * F.col(f"{prefix}{i}v{name}")
-            for _ in range(power):
-                part = part * F.col(f"f{i}v")
-            parts.append(part)
-        return _total(parts)
+    met = spread(live, blocks, "_before", "time").withColumn("_f", tt(F.col("z"), F.col("at")))
+    met = met.withColumn("_e", F.exp(F.lit(b) * F.col("_f"))).withColumn("_now", F.col("at") == F.col("time"))
+    f = F.col("_f")
+
+    def at_death(value: Column) -> Column:
+        return F.sum(F.when(F.col("_now"), value).otherwise(0.0))
 
     out: dict[str, Column] = {}
-    for s in ("s", "d"):
-        out[f"{s}0"] = mix(s, "0", 0)
+    for s, add in (("s", F.sum), ("d", at_death)):
+        part = lambda name, s=s: F.col("_e") * F.col(f"{s}{name}")
+        out[f"{s}0"] = add(part("0"))
         for k in range(p):
-            out[f"{s}1_{k}"] = mix(s, f"1_{k}", 0)
-            out[f"{s}2_{k}_{p}"] = mix(s, f"1_{k}", 1)
+            out[f"{s}1_{k}"] = add(part(f"1_{k}"))
+            out[f"{s}2_{k}_{p}"] = add(part(f"1_{k}") * f)
         for j, k in _pairs(p):
-            out[f"{s}2_{j}_{k}"] = mix(s, f"2_{j}_{k}", 0)
-        out[f"{s}1_{p}"] = mix(s, "0", 1)
-        out[f"{s}2_{p}_{p}"] = mix(s, "0", 2)
-    out[f"dx{p}"] = _total([F.col(f"n{i}v") * F.col(f"f{i}v") for i in range(len(values))])
-    mixed = risk.select("time", "deaths", "base_xb", *[f"dx{k}" for k in range(p)], *[c.alias(n) for n, c in out.items()])
-    return mixed.withColumn("dxb", F.col("base_xb") + F.lit(b) * F.col(f"dx{p}"))
-
-
-def _tt_by_row(
-    design: DataFrame, beta: np.ndarray, p: int, event_times: Sequence[float], tt: Callable[[Column, Column], Column]
-) -> DataFrame:
-    """Risk sums with one time-varying term for a covariate of many values.
-
-    Each row meets the event times up to its own and is summed into them map-side, so what is
-    shuffled is one row per event time and task. Work grows with rows times event times.
-    """
-    times = F.array(*[F.lit(float(t)) for t in event_times])
-    xs = [F.col(f"x{k}") for k in range(p)] + [F.col("tv")]
-    long = design.withColumn("t", F.explode(F.filter(times, lambda t: t <= F.col("time")))).withColumn(
-        "tv", tt(F.col("z"), F.col("t"))
-    )
-    xb = _linear(beta, xs)
-    e = F.exp(xb) * F.col("w")
-    dead = (F.col("event") == 1) & (F.col("time") == F.col("t"))
-    sums = _moments(e, xs, "s") | _moments(F.when(dead, e).otherwise(0.0), xs, "d")
-    lived = F.when(dead, F.col("w")).otherwise(0.0)
-    sums |= {"deaths": F.sum(lived), "dxb": F.sum(lived * xb)}
-    sums |= {f"dx{k}": F.sum(lived * x) for k, x in enumerate(xs)}
-    return long.groupBy(F.col("t").alias("time")).agg(*[c.alias(n) for n, c in sums.items()])
+            out[f"{s}2_{j}_{k}"] = add(part(f"2_{j}_{k}"))
+        out[f"{s}1_{p}"] = add(part("0") * f)
+        out[f"{s}2_{p}_{p}"] = add(part("0") * f * f)
+    out |= {f"dx{k}": at_death(F.col(f"dx{k}")) for k in range(p)} | {f"dx{p}": at_death(F.col("deaths") * f)}
+    out |= {"deaths": at_death(F.col("deaths")), "dxb": at_death(F.col("dxb") + F.lit(b) * F.col("deaths") * f)}
+    return met.groupBy(F.col("at").alias("time")).agg(*[c.alias(n) for n, c in out.items()])
 
 
 def cox_tt(
@@ -584,11 +585,11 @@ def cox_tt(
     varying: str,
     levels: Mapping[str, Sequence[str]] | None = None,
     tt: Callable[[Column, Column], Column] = log_time,
-    max_levels: int = TT_LEVELS,
+    unsettled: str = "error",
 ) -> CoxFit:
     """A model with the extra term ``tt(varying)``, evaluated at each event time.
 
-    ``varying`` is numeric, or a two-level factor that enters as 0/1.
+    ``varying`` is numeric, of any number of values, or a two-level factor that enters as 0/1.
     """
     levels = levels or {}
     if varying in levels:
@@ -599,25 +600,18 @@ def cox_tt(
         z = F.col(f"`{varying}`").cast("double")
     terms, levels, design, mean, scale, n, scan, heavy = _prepare(df, time, event, covariates, levels, z)
     p = len(terms)
-    found = design.select("z").distinct().limit(max_levels + 1).collect()
-    if len(found) <= max_levels:
-        values = sorted(r["z"] for r in found)
-
-        def evaluate(b: np.ndarray) -> dict:
-            return _newton_row(_tt_by_level(design, b, p, values, tt, scan), p + 1, heavy)
-    else:
-        rows = design.where("event = 1").select("time").distinct().collect()  # event times only
-        times = sorted(r["time"] for r in rows)
-
-        def evaluate(b: np.ndarray) -> dict:
-            return _newton_row(_tt_by_row(design, b, p, times, tt), p + 1, heavy)
-
-    beta, info, ll0, ll, score, steps, events = _newton(evaluate, p + 1)
+    blocks = point_blocks(design.where("event = 1").select("time").distinct(), **scan)
+    sizes = measure_keys(design.select("z", "time").distinct(), ["z"])
+    [model], [(ll0, score)] = _newton(
+        lambda betas: {0: _newton_row(_tt_sums(design, betas[0], p, blocks, tt, sizes), p + 1, heavy)}, [np.zeros(p + 1)], [range(p + 1)]
+    )
+    blocks.release()
     terms = [*terms, Term(f"tt({varying})", varying, "tt")]
     mean, scale = np.append(mean, 0.0), np.append(scale, 1.0)
     return CoxFit(
-        terms, beta / scale, np.linalg.pinv(info) / np.outer(scale, scale), ll0, ll, score, steps, n, int(events),
-        time, event, list(covariates), levels, mean, scale, design, df.sparkSession, scan, heavy,
+        terms, model.beta / scale, np.linalg.pinv(model.info) / np.outer(scale, scale), ll0, model.ll, score, model.steps, n,
+        int(model.events), time, event, list(covariates), levels, mean, scale, design, df.sparkSession, scan, heavy,
+        _settled(model, unsettled),
     )
 
 
@@ -655,89 +649,134 @@ def baseline(fit: CoxFit) -> DataFrame:
     return ordered_scan(per_time, [], ["time"], {n: running_sum(c) for n, c in names.items()}, **fit.scan).drop(*steps)
 
 
-def adjusted_survival(
-    df: DataFrame, fit: CoxFit, variable: str, times: Sequence[float] | None = None, chunk: int = 500
-) -> DataFrame:
-    """Directly standardised survival per level of ``variable``, with its 95% interval.
-
-    Every row is predicted with the variable set to each level, and the predictions are averaged.
-    The interval combines the uncertainty of coefficients and baseline hazard (delta method) with
-    the spread of the predictions over rows. Curves are given at the event times, or at ``times``.
-    Rows are summed into (level, time) map-side; nothing but these sums is shuffled.
-    """
+def _profiles(fit: CoxFit, variable: str) -> DataFrame:
+    """``w, level, r, x0 …``: each distinct row of covariates once per level of ``variable``, with the number of rows it
+    stands for and its relative hazard with the variable set to the level."""
     if variable not in fit.levels:
         raise ValueError("the adjusted variable must be a factor of the model")
-    p = len(fit.terms)
-    base = baseline(fit)
-    columns = ["time", "hazard", "variance", *[f"q{k}" for k in range(p)]]
-    if times is None:
-        points = [tuple(r) for r in base.orderBy("time").select(*columns).collect()]  # event times only
-    else:
-        lists = F.struct(*columns)
-        last = [F.max_by(lists, F.when(F.col("time") <= float(t), F.col("time"))).alias(f"_{i}") for i, t in enumerate(times)]
-        got = base.agg(*last).first()
-        points = [
-            (float(t), *([0.0] * (p + 2) if got[i] is None else list(got[i])[1:])) for i, t in enumerate(times)
-        ]
-    hazards = [(i, *pt) for i, pt in enumerate(points)]
-    schema = "k int, " + ", ".join(f"{c} double" for c in columns)
-    table = fit.spark.createDataFrame(hazards, schema)
     fixed = [k for k, t in enumerate(fit.terms) if t.variable == variable]
-    level_names = fit.levels[variable]
+    others = [f"x{k}" for k in range(len(fit.terms)) if k not in fixed]
+    counted = fit.design.groupBy(*others).agg(F.sum("w").alias("w")) if others else fit.design.agg(F.sum("w").alias("w"))
 
     def setting(level: str) -> list[Column]:
         out = []
         for k, t in enumerate(fit.terms):
-            if k in fixed:
-                value = (1.0 if t.level == level else 0.0) - fit.mean[k]
-                out.append(F.lit(float(value / fit.scale[k])))
-            else:
-                out.append(F.col(f"x{k}"))
+            value = ((1.0 if t.level == level else 0.0) - fit.mean[k]) / fit.scale[k]
+            out.append(F.lit(float(value)) if k in fixed else F.col(f"x{k}"))
         return out
 
-    b = fit.scaled_beta
-    variants = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("level"),
-                F.exp(_linear(b, setting(lv))).alias("r"),
-                *[x.alias(f"x{k}") for k, x in enumerate(setting(lv))],
-            )
-            for i, lv in enumerate(level_names)
-        ]
-    )
-    rows = fit.design.select("w", F.explode(variants).alias("v")).select("w", "v.*")
-    parts = []
-    for start in range(0, len(points), chunk):
-        part = points[start : start + chunk]
-        h = F.array(*[F.struct(F.lit(start + i).alias("k"), F.lit(float(pt[1])).alias("h")) for i, pt in enumerate(part)])
-        met = rows.select("*", F.explode(h).alias("p"))
-        s = F.exp(-F.col("p.h") * F.col("r"))
-        parts.append(
-            met.groupBy("level", F.col("p.k").alias("k")).agg(
-                F.sum("w").alias("n"),
-                F.sum(F.col("w") * s).alias("s"),
-                F.sum(F.col("w") * s * s).alias("ss"),
-                F.sum(F.col("w") * s * F.col("r")).alias("sr"),
-                *[F.sum(F.col("w") * s * F.col("r") * F.col(f"x{j}")).alias(f"sx{j}") for j in range(p)],
-            )
-        )
-    sums = reduce(lambda a, c: a.unionByName(c), parts).join(table, "k")
+    variants = []
+    for i, lv in enumerate(fit.levels[variable]):
+        xs = setting(lv)
+        variants.append(F.struct(F.lit(i).alias("level"), F.exp(_linear(fit.scaled_beta, xs)).alias("r"), *[x.alias(f"x{k}") for k, x in enumerate(xs)]))
+    return counted.select("w", F.explode(F.array(*variants)).alias("v")).select("w", "v.*")
+
+
+def _standardised(fit: CoxFit, met: DataFrame, base: DataFrame) -> DataFrame:
+    """Mean survival per level and time with its interval, from profiles that met times (``time``, ``hazard``).
+
+    ``base`` has the variance parts of the times. Profiles are summed map-side; only the sums are shuffled.
+    """
+    p = len(fit.terms)
+    w, s, r = F.col("w"), F.exp(-F.col("hazard") * F.col("r")), F.col("r")
+    sums = met.groupBy("level", "time").agg(
+        F.sum("w").alias("n"), F.sum(w * s).alias("s"), F.sum(w * s * s).alias("ss"), F.sum(w * s * r).alias("sr"),
+        *[F.sum(w * s * r * F.col(f"x{j}")).alias(f"sx{j}") for j in range(p)],
+    )
+    sums = sums.join(base, "time")
     n, mean_s, mean_sr = F.col("n"), F.col("s") / F.col("n"), F.col("sr") / F.col("n")
     grad = [F.col(f"q{j}") * mean_sr - F.col("hazard") * F.col(f"sx{j}") / n for j in range(p)]
     v = fit.scaled_vcov
     model = _total([F.lit(float(v[i, j])) * grad[i] * grad[j] for i in range(p) for j in range(p)])
-    spread = F.greatest(F.col("ss") / n - mean_s * mean_s, F.lit(0.0)) / n
-    se = F.sqrt(model + mean_sr * mean_sr * F.col("variance") + spread)
-    labels = F.array(*[F.lit(lv) for lv in level_names])
+    spread_of = F.greatest(F.col("ss") / n - mean_s * mean_s, F.lit(0.0)) / n
+    se = F.sqrt(model + mean_sr * mean_sr * F.col("variance") + spread_of)
     return sums.select(
-        F.get(labels, F.col("level")).alias(variable),
-        "time",
-        mean_s.alias("survival"),
-        se.alias("std_err"),
-        F.greatest(mean_s - Z95 * se, F.lit(0.0)).alias("lower"),
-        F.least(mean_s + Z95 * se, F.lit(1.0)).alias("upper"),
-    )
+        "level", "time", mean_s.alias("survival"), se.alias("std_err"),
+        F.greatest(mean_s - Z95 * se, F.lit(0.0)).alias("lower"), F.least(mean_s + Z95 * se, F.lit(1.0)).alias("upper"),
+    )
+
+
+def _base_columns(fit: CoxFit) -> list[str]:
+    return ["time", "hazard", "variance", *[f"q{k}" for k in range(len(fit.terms))]]
+
+
+def adjusted_survival(fit: CoxFit, variable: str, times: Sequence[float] | None = None) -> DataFrame:
+    """Directly standardised survival per level of ``variable``, with its 95% interval.
+
+    Every row is predicted with the variable set to each level, and the predictions are averaged; rows of equal covariates
+    are predicted once. The interval combines the uncertainty of coefficients and baseline hazard (delta method) with
+    the spread of the predictions over rows. Curves are given at the event times, which profiles meet in tiles, or at
+    ``times``, a short list.
+    """
+    profiles = _profiles(fit, variable)
+    base = baseline(fit).select(*_base_columns(fit))
+    if times is None:
+        base = base.persist()
+        met = everywhere(profiles, point_blocks(base, ["hazard"], **fit.scan))
+    else:
+        lists = F.struct(*base.columns)
+        got = base.agg(*[F.max_by(lists, F.when(F.col("time") <= float(t), F.col("time"))).alias(f"_{i}") for i, t in enumerate(times)]).first()
+        points = [(float(t), *([0.0] * (len(base.columns) - 1) if g is None else g[1:])) for t, g in zip(times, got, strict=True)]
+        base = fit.spark.createDataFrame(points, ", ".join(f"{c} double" for c in base.columns))
+        asked = F.array(*[F.struct(F.lit(t).alias("time"), F.lit(float(h)).alias("hazard")) for t, h, *_ in points])
+        met = profiles.withColumn("_at", F.explode(asked)).select(*profiles.columns, "_at.*")
+    labels = F.array(*[F.lit(lv) for lv in fit.levels[variable]])
+    return _standardised(fit, met, base).select(F.get(labels, F.col("level")).alias(variable), "time", "survival", "std_err", "lower", "upper")
+
+
+def adjusted_median_search(fit: CoxFit, variable: str, sections: int = 8) -> DataFrame:
+    """As :func:`adjusted_median` of the whole curve, without the curve: ``group, q, ci_lower, ci_upper``.
+
+    The first event time at which a curve is down to one half is searched for by its rank. Each round splits the ranks that
+    are still open into ``sections``, for all levels and bounds in one aggregation over the profiles; rounds grow with the
+    logarithm of the event times. The curve falls; its bounds are taken to fall too.
+    """
+    tolerance = 1e-12
+    profiles = _profiles(fit, variable).persist()
+    ranked = ordered_scan(baseline(fit).select(*_base_columns(fit)), [], ["time"], {"_rank": position()}, **fit.scan).persist()
+    count = ranked.count()
+    levels = range(len(fit.levels[variable]))
+    curves = ("survival", "lower", "upper")
+    tests = {"reached": lambda x: x <= 0.5 + tolerance, "below": lambda x: x < 0.5 - tolerance}
+    known: dict[tuple[int, int], tuple] = {}  # level and rank to the curves' values there
+    at: dict[int, float] = {}
+    # the last rank known to be above, and the first known to be down
+    open_ = {(lv, c, k): [0, count + 1] for lv in levels for c in curves for k in tests}
+
+    def ask(wanted: set[tuple[int, int]]) -> None:
+        rows = ranked.where(F.col("_rank").isin(sorted({rank for _, rank in wanted}))).collect()
+        by_rank = {r["_rank"]: r for r in rows}
+        at.update({rank: r["time"] for rank, r in by_rank.items()})
+        points = [F.struct(F.lit(lv).alias("lv"), F.lit(by_rank[k]["time"]).alias("time"), F.lit(by_rank[k]["hazard"]).alias("hazard")) for lv, k in sorted(wanted)]
+        met = profiles.withColumn("_at", F.explode(F.filter(F.array(*points), lambda x: x["lv"] == F.col("level"))))
+        base = fit.spark.createDataFrame([tuple(r)[:-1] for r in rows], ", ".join(f"{c} double" for c in _base_columns(fit)))
+        ranks = {r["time"]: rank for rank, r in by_rank.items()}
+        for r in _standardised(fit, met.select(*profiles.columns, "_at.time", "_at.hazard"), base).collect():
+            known[r["level"], ranks[r["time"]]] = tuple(r[c] for c in curves)
+
+    while wider := {key: b for key, b in open_.items() if b[1] - b[0] > 1}:
+        tried = {key: sorted({lo + max(1, (hi - lo) * i // sections) for i in range(1, sections)} - {hi}) for key, (lo, hi) in wider.items()}
+        wanted = {(key[0], rank) for key, ranks in tried.items() for rank in ranks} - known.keys()
+        if wanted:
+            ask(wanted)
+        for (lv, curve, test), ranks in tried.items():
+            down = [k for k in ranks if tests[test](known[lv, k][curves.index(curve)])]
+            bounds = open_[lv, curve, test]
+            bounds[1] = min([bounds[1], *down])
+            bounds[0] = max([bounds[0], *[k for k in ranks if k < bounds[1] and k not in down]])
+
+    def crossing(lv: int, curve: str) -> float | None:
+        first, below = open_[lv, curve, "reached"][1], open_[lv, curve, "below"][1]
+        if first > count:
+            return None
+        value = known[lv, first][curves.index(curve)]
+        flat = abs(value - 0.5) <= tolerance and below <= count
+        return (at[first] + at[below]) / 2 if flat else at[first]
+
+    profiles.unpersist()
+    ranked.unpersist()
+    rows = [(name, *[crossing(lv, c) for c in curves]) for lv, name in enumerate(fit.levels[variable])]
+    return fit.spark.createDataFrame(rows, "group string, q double, ci_lower double, ci_upper double")
 
 
 def adjusted_median(curve: DataFrame, variable: str) -> DataFrame:
@@ -772,8 +811,6 @@ def ph_check(df: DataFrame, fit: CoxFit, transform: str = "km") -> DataFrame:
             F.sum(F.when(F.col("event") == 1, F.col("w")).otherwise(0.0)).alias("_d"), F.sum("w").alias("_m")
         )
         at = ordered_scan(counts, [], ["time"], {"_n": remaining_sum("_m")}, **fit.scan)
-        from hazardline.operators.scans import running_product
-
         kept = ordered_scan(
             at.withColumn("_k", 1 - F.col("_d") / F.col("_n")), [], ["time"], {"_s": running_product("_k")}, **fit.scan
         )

@@ -12,15 +12,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hazardline.functions.dates import time_scale
-from hazardline.operators.scans import PIECE, measure_keys, ordered_scan, remaining_sum, running_product, running_sum
+from hazardline.operators.scans import (
+    PIECE,
+    fill_up,
+    following,
+    measure_keys,
+    ordered_scan,
+    preceding,
+    remaining_sum,
+    running_product,
+    running_sum,
+)
+from hazardline.operators.tiles import point_blocks, spread
 
 # --- fixed values -----------------------------------------------------------------------------
 Z95 = 1.959963984540054
 FOLLOW_UP_YEARS = (1, 2, 5)
-MAX_GROUPS = 64  # log-rank groups are columns of the per-time table
 # ----------------------------------------------------------------------------------------------
 
 
@@ -164,48 +173,30 @@ def survival_at(
 
 
 def risk_table(
-    curve: DataFrame, strata: Sequence[str] = (), *, step: float = 24.0, x_end: float | None = None
+    curve: DataFrame, strata: Sequence[str] = (), *, step: float = 24.0, x_end: float | None = None, **scan
 ) -> DataFrame:
-    """Number at risk and events so far at 0, step, 2·step … up to ``x_end`` (default: last time)."""
-    end = F.lit(float(x_end)) if x_end is not None else F.col("_end")
+    """Number at risk and events so far at 0, step, 2·step … up to ``x_end`` (default: last time).
+
+    Breaks and points of the curve are put in one order, a break before a point at its time, and one scan reads off both
+    numbers; the work is that of sorting them, however fine the breaks.
+    """
     strata = list(strata)
-    # each point adds to the breaks it lies before; points are binned once, then bins are summed up
-    bins = curve.withColumns(
-        {
-            "_risk_bin": F.floor(F.col("time") / F.lit(step)).cast("long"),  # still at risk at this break
-            "_event_bin": F.ceil(F.col("time") / F.lit(step)).cast("long"),  # counted from this break on
-        }
-    )
-    moves = bins.select(
-        *strata,
-        F.explode(
-            F.array(
-                F.struct(
-                    F.col("_risk_bin").alias("bin"),
-                    (F.col("n_event") + F.col("n_censor")).alias("leave"),
-                    F.lit(0).cast("long").alias("ev"),
-                ),
-                F.struct(F.col("_event_bin").alias("bin"), F.lit(0).cast("long").alias("leave"), F.col("n_event").alias("ev")),
-            )
-        ).alias("m"),
-    ).select(*strata, "m.*")
-    last = curve.agg(F.max("time").alias("_end"))
-    per_bin = moves.groupBy(*strata, "bin").agg(F.sum("leave").alias("leave"), F.sum("ev").alias("ev"))
-    lists = per_bin.groupBy(*strata).agg(F.collect_list(F.struct("bin", "leave", "ev")).alias("_b"))
-    # one array of breaks per stratum, bounded by x_end / step
-    lists = lists.withColumn("_end", last.scalar())
-    count = F.floor(end / F.lit(step)).cast("int")
-    breaks = lists.select(*strata, "_b", F.explode(F.sequence(F.lit(0), count)).alias("k"))
-    zero = F.lit(0).cast("long")
-    return breaks.select(
-        *strata,
-        (F.col("k") * F.lit(float(step))).alias("time"),
-        F.aggregate(
-            F.filter("_b", lambda b: b["bin"] >= F.col("k")), zero, lambda a, b: a + b["leave"]
-        ).alias("n_risk"),
-        F.aggregate(F.filter("_b", lambda b: b["bin"] <= F.col("k")), zero, lambda a, b: a + b["ev"]).alias(
-            "cum_events"
-        ),
+    end = F.lit(float(x_end)) if x_end is not None else curve.agg(F.max("time").alias("_end")).scalar()
+    strata_rows = curve.select(*strata).distinct() if strata else curve.limit(1).select(F.lit(1).alias("_one"))
+    count = F.floor(end / F.lit(float(step))).cast("int")
+    breaks = strata_rows.select(*strata, F.explode(F.sequence(F.lit(0), count)).alias("k")).select(
+        *strata, (F.col("k") * F.lit(float(step))).alias("time"), F.lit(True).alias("_break"),
+        F.lit(None).cast("long").alias("n_risk"), F.lit(0).cast("long").alias("n_event"),
+    )
+    points = curve.select(*strata, "time", F.lit(False).alias("_break"), "n_risk", "n_event")
+    steps = {
+        "_risk": fill_up("n_risk"), "_so_far": running_sum("n_event"), "_next": following("time"), "_next_events": following("n_event"),
+    }
+    both = breaks.unionByName(points).withColumn("_place", F.when(F.col("_break"), 0).otherwise(1))
+    seen = ordered_scan(both, strata, ["time", "_place"], steps, **scan)
+    now = F.when(F.col("_next") == F.col("time"), F.col("_next_events")).otherwise(0)
+    return seen.where("_break").select(
+        *strata, "time", F.coalesce("_risk", F.lit(0)).alias("n_risk"), (F.col("_so_far") + now).alias("cum_events")
     )
 
 
@@ -223,73 +214,97 @@ def chi2_sf(x: float, df: int) -> float:
     return math.erfc(math.sqrt(h)) + math.exp(-h) * total
 
 
-def _group_levels(df: DataFrame, group: str) -> list[str]:
-    rows = df.select(F.col(group).cast("string").alias("g")).where("g IS NOT NULL").distinct().limit(MAX_GROUPS + 1).collect()
-    levels = sorted(r["g"] for r in rows)
-    if len(levels) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups to compare")
-    if len(levels) < 2:
-        raise ValueError("a log-rank test needs two groups")
-    return levels
-
+def _pair_sums(counts: DataFrame, of_pair, **scan) -> list:
+    """Sums over event times for every pair of groups (a group with itself included), from one aggregation.
 
-def logrank_parts(counts: DataFrame, levels: Sequence[str], **scan) -> dict[str, object]:
-    """Observed, expected and covariance sums over event times for the given groups.
-
-    ``counts`` holds ``g, time, d, c``. One row comes back to the driver.
+    ``counts`` holds ``g, time, d, c``. The number at risk of a group holds from its time before up to its own, and meets the
+    event times in between in tiles. A time's row is the list of groups still at risk; its pairs are summed map-side.
+    ``of_pair(a, b, total)`` gives named sums from two members ``g, d, n`` and the time's totals ``d, n``. As many rows come
+    back as there are pairs of groups.
     """
-    k = len(levels)
-    wide = counts.where(F.col("g").isin(list(levels))).groupBy("time").agg(
-        *[F.sum(F.when(F.col("g") == g, F.col("d")).otherwise(0)).alias(f"d{i}") for i, g in enumerate(levels)],
-        *[F.sum(F.when(F.col("g") == g, F.col("d") + F.col("c")).otherwise(0)).alias(f"m{i}") for i, g in enumerate(levels)],
+    cells = counts.withColumn("m", F.col("d") + F.col("c"))
+    if not scan.get("bounded"):
+        scan = {"sizes": measure_keys(cells.select("g"), ["g"], scan.get("floor", PIECE))}
+    live = ordered_scan(cells, ["g"], ["time"], {"n": remaining_sum("m"), "_before": preceding("time")}, **scan)
+    blocks = point_blocks(cells.where("d > 0").select("time").distinct())
+    met = spread(live, blocks, "_before", "time")
+    member = F.struct("g", F.when(F.col("at") == F.col("time"), F.col("d")).otherwise(0).cast("double").alias("d"), F.col("n").cast("double").alias("n"))
+    lists = met.groupBy("at").agg(
+        F.array_sort(F.collect_list(member)).alias("m"), F.struct(F.sum(member["d"]).alias("d"), F.sum(member["n"]).alias("n")).alias("total")
     )
-    risk = ordered_scan(wide, [], ["time"], {f"n{i}": remaining_sum(f"m{i}") for i in range(k)}, **scan)
-    d = sum((F.col(f"d{i}") for i in range(1, k)), F.col("d0")).cast("double")
-    n = sum((F.col(f"n{i}") for i in range(1, k)), F.col("n0")).cast("double")
-    base = risk.withColumns({"_d": d, "_n": n}).where("_d > 0")
-    share = [F.col(f"n{i}") / F.col("_n") for i in range(k)]
-    spread = F.when(F.col("_n") > 1, F.col("_d") * (F.col("_n") - F.col("_d")) / (F.col("_n") - 1)).otherwise(0.0)
-    aggs = [F.sum(f"d{i}").cast("double").alias(f"o{i}") for i in range(k)]
-    aggs += [F.sum(F.col("_d") * share[i]).alias(f"e{i}") for i in range(k)]
-    for i in range(k):
-        for j in range(i, k):
-            value = spread * share[i] * ((F.lit(1.0) if i == j else F.lit(0.0)) - share[j])
-            aggs.append(F.sum(value).alias(f"v{i}_{j}"))
-    return base.agg(*aggs).first().asDict()
-
-
-def _statistic(parts: dict, k: int) -> tuple[float, int, float]:
-    import numpy as np
+    pairs = F.flatten(F.transform("m", lambda a, i: F.transform(F.slice("m", i + 1, F.size("m")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    rows = lists.select("total", F.explode(pairs).alias("p"))
+    sums = of_pair(F.col("p.a"), F.col("p.b"), F.col("total"))
+    out = rows.groupBy(F.col("p.a.g").alias("g1"), F.col("p.b.g").alias("g2")).agg(*[F.sum(c).alias(n) for n, c in sums.items()]).collect()
+    blocks.release()
+    return out
+
+
+def _counted(df: DataFrame, time: str, event: str, group: str) -> tuple[DataFrame, dict[str, int]]:
+    """Cells of the groups, kept, and the rows of each group."""
+    counts = time_counts(df.withColumn("g", F.col(group).cast("string")), time, event, ["g"]).where("g IS NOT NULL").persist()
+    rows = counts.groupBy("g").agg(F.sum(F.col("d") + F.col("c")).alias("n")).collect()
+    if len(rows) < 2:
+        raise ValueError("a log-rank test needs two groups")
+    return counts, {r["g"]: r["n"] for r in sorted(rows, key=lambda r: r["g"])}
+
 
-    u = np.array([(parts[f"o{i}"] or 0.0) - (parts[f"e{i}"] or 0.0) for i in range(k - 1)])
-    v = np.array([[parts[f"v{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k - 1)] for i in range(k - 1)])
-    chi2 = float(u @ np.linalg.pinv(v) @ u)
-    return chi2, k - 1, chi2_sf(chi2, k - 1)
+def _hypergeometric(d: Column, n: Column) -> Column:
+    return F.when(n > 1, d * (n - d) / (n - 1)).otherwise(0.0)
 
 
 def logrank(df: DataFrame, time: str, event: str, group: str, **scan) -> DataFrame:
-    """k-sample log-rank test: one row per group with observed and expected events, and the test."""
-    counts = time_counts(df.withColumn("g", F.col(group).cast("string")), time, event, ["g"]).persist()
-    levels = _group_levels(counts, "g")
-    parts = logrank_parts(counts, levels, **scan)
-    chi2, dof, p = _statistic(parts, len(levels))
-    sizes = counts.groupBy("g").agg(F.sum(F.col("d") + F.col("c")).alias("n"))
-    rows = [(g, float(parts[f"o{i}"]), float(parts[f"e{i}"]), chi2, dof, p) for i, g in enumerate(levels)]
-    schema = "g string, observed double, expected double, chisq double, df int, p double"
-    small = df.sparkSession.createDataFrame(rows, schema)
-    return sizes.join(F.broadcast(small), "g").select(
-        F.col("g").alias(group), "n", "observed", "expected", "chisq", "df", "p"
+    """k-sample log-rank test: one row per group with observed and expected events, and the test.
+
+    Groups may be many: they are rows throughout, and the driver holds their covariances.
+    """
+    import numpy as np
+
+    counts, sizes = _counted(df, time, event, group)
+
+    def parts(a: Column, b: Column, total: Column) -> dict[str, Column]:
+        same = a["g"] == b["g"]
+        own = F.when(same, 1.0).otherwise(0.0)
+        n = total["n"]
+        return {
+            "o": own * a["d"], "e": own * total["d"] * a["n"] / n,
+            "v": _hypergeometric(total["d"], n) * a["n"] / n * (own - b["n"] / n),
+        }
+
+    sums = _pair_sums(counts, parts, **scan)
+    counts.unpersist()
+    at = {g: i for i, g in enumerate(sizes)}
+    observed, expected, v = np.zeros(len(at)), np.zeros(len(at)), np.zeros((len(at), len(at)))
+    for r in sums:
+        i, j = at[r["g1"]], at[r["g2"]]
+        v[i, j] = v[j, i] = r["v"]
+        if i == j:
+            observed[i], expected[i] = r["o"], r["e"]
+    u = (observed - expected)[:-1]
+    chi2, dof = float(u @ np.linalg.pinv(v[:-1, :-1]) @ u), len(at) - 1
+    p = chi2_sf(chi2, dof)
+    rows = [(g, int(n), float(observed[at[g]]), float(expected[at[g]]), chi2, dof, p) for g, n in sizes.items()]
+    return df.sparkSession.createDataFrame(
+        rows, f"`{group}` string, n long, observed double, expected double, chisq double, df int, p double"
     )
 
 
 def pairwise_logrank(df: DataFrame, time: str, event: str, group: str, **scan) -> DataFrame:
-    """Log-rank test of every pair of groups (at most ``MAX_GROUPS`` groups, from one counted table)."""
-    counts = time_counts(df.withColumn("g", F.col(group).cast("string")), time, event, ["g"]).persist()
-    levels = _group_levels(counts, "g")
+    """Log-rank test of every pair of groups, all from one aggregation: ``group1, group2, chisq, df, p``.
+
+    A pair without an event between them has a null statistic.
+    """
+    counts, _ = _counted(df, time, event, group)
+
+    def parts(a: Column, b: Column, total: Column) -> dict[str, Column]:
+        d, n = a["d"] + b["d"], a["n"] + b["n"]
+        share = a["n"] / n
+        return {"u": a["d"] - d * share, "v": _hypergeometric(d, n) * share * (1 - share)}
+
     rows = []
-    for i, a in enumerate(levels):
-        for b in levels[i + 1 :]:
-            chi2, dof, p = _statistic(logrank_parts(counts, [a, b], **scan), 2)
-            rows.append((a, b, chi2, dof, p))
-    schema = T.StructType.fromDDL("group1 string, group2 string, chisq double, df int, p double")
-    return df.sparkSession.createDataFrame(rows, schema)
+    for r in _pair_sums(counts, parts, **scan):
+        if r["g1"] != r["g2"]:
+            chi2 = r["u"] ** 2 / r["v"] if r["v"] else None
+            rows.append((r["g1"], r["g2"], chi2, 1, None if chi2 is None else chi2_sf(chi2, 1)))
+    counts.unpersist()
+    return df.sparkSession.createDataFrame(sorted(rows, key=lambda r: r[:2]), "group1 string, group2 string, chisq double, df int, p double")

@@ -36,6 +36,31 @@ def p_sql(chisq: str) -> str:
     return f"1 - 2 / sqrt(pi()) * list_sum([{term} FOR k IN range(90)])"
 
 
+def even_p_sql(chisq: str, df: int) -> str:
+    """The same tail for an even number of degrees of freedom, a finite sum."""
+    terms, factor = [], 1
+    for i in range(df // 2):
+        factor *= max(i, 1)
+        terms.append(f"pow(({chisq}) / 2, {i}) / {factor}")
+    return f"exp(-({chisq}) / 2) * ({' + '.join(terms)})"
+
+
+def solve_sql(name: str, source: str, p: int, right: dict[str, list[str]]) -> str:
+    """Gauss-Jordan elimination, unrolled: ``<name>_<p>`` has the columns ``<r><j>``, the solutions of the symmetric system
+    ``i<j><k>`` (j <= k) of ``source`` for each right side ``r`` given by its expressions."""
+    a = [f"i{min(j, k)}{max(j, k)} AS a{j}_{k}" for j in range(p) for k in range(p)]
+    sides = [f"{e} AS {r}{j}" for r, es in right.items() for j, e in enumerate(es)]
+    out = [f"{name}_0 AS MATERIALIZED (SELECT {', '.join(a + sides)} FROM {source})"]
+    for c in range(p):
+        columns = []
+        for j in range(p):
+            share = f"a{j}_{c} / a{c}_{c}"
+            for col, pivot in [(f"a{j}_{k}", f"a{c}_{k}") for k in range(p)] + [(f"{r}{j}", f"{r}{c}") for r in right]:
+                columns.append(f"{pivot} / a{c}_{c} AS {col}" if j == c else f"{col} - {pivot} * {share} AS {col}")
+        out.append(f"{name}_{c + 1} AS MATERIALIZED (SELECT {', '.join(columns)} FROM {name}_{c})")
+    return ",\n".join(out)
+
+
 # --- Kaplan-Meier -------------------------------------------------------------------------------
 
 
@@ -125,10 +150,29 @@ def logrank(spark, folder):
     return _r(out, "expected", "chisq", "p")
 
 
-@query(f"WITH {STUDY},{_logrank_sql('arm')} SELECT ob.g AS arm, n, o AS observed, round(e, 6) AS expected, 4 AS df FROM ob JOIN oe ON oe.g = ob.g")
+_ARMS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def _arms_sql() -> str:
+    """The k-sample statistic over all arms but the last, by elimination."""
+    k = len(_ARMS) - 1
+    share = [f"max(CASE WHEN g = '{a}' THEN ng / CAST(n AS DOUBLE) END)" for a in _ARMS[:k]]
+    wide = f"lw AS (SELECT time, max(d) AS d, max(n) AS n, {', '.join(f'{e} AS h{i}' for i, e in enumerate(share))} FROM gc GROUP BY time)"
+    spread = "CASE WHEN n > 1 THEN d * (n - d) / CAST(n - 1 AS DOUBLE) ELSE 0 END"
+    v = [f"sum({spread} * h{i} * ({1 if i == j else 0} - h{j})) AS i{i}{j}" for i in range(k) for j in range(i, k)]
+    u = [f"(SELECT o - e FROM ob JOIN oe ON oe.g = ob.g WHERE ob.g = '{a}') AS u{i}" for i, a in enumerate(_ARMS[:k])]
+    solved = solve_sql("lz", "lv", k, {"r": [f"u{i}" for i in range(k)]})
+    x = " + ".join(f"u{i} * r{i}" for i in range(k))
+    return f"{wide}, lv AS (SELECT {', '.join(v)}, {', '.join(u)} FROM lw), {solved}, lx AS (SELECT {x} AS x FROM lz_{k}, lv)"
+
+
+@query(
+    f"WITH {STUDY},{_logrank_sql('arm')}, {_arms_sql()} SELECT ob.g AS arm, n, o AS observed, round(e, 6) AS expected, round(x, 6) AS chisq, 4 AS df, "
+    f"round({even_p_sql('x', 4)}, 6) AS p FROM ob JOIN oe ON oe.g = ob.g, lx"
+)
 def logrank_arms(spark, folder):
     out = K.logrank(views.study(spark, folder), "time", "event", "arm")
-    return _r(out, "expected").drop("chisq", "p")
+    return _r(out, "expected", "chisq", "p")
 
 
 @query(f"""
@@ -146,20 +190,21 @@ def logrank_pairwise(spark, folder):
 # --- models -------------------------------------------------------------------------------------
 
 
-def cox_sql(xs: list[str], steps: int = 8, name: str = "cx", varying: str | None = None) -> str:
-    """Unrolled Newton steps with Efron ties for one or two covariates of ``study``.
+def cox_sql(xs: list[str], steps: int = 8, name: str = "cx", varying: str | None = None, source: str = "study") -> str:
+    """Unrolled Newton steps with Efron ties for covariates of ``source``.
 
-    Ends in ``<name>b`` (coefficients), ``<name>i`` (information, likelihood) and ``<name>0`` (at zero).
+    Ends in ``<name>b`` (coefficients), ``<name>i`` (information, likelihood), ``<name>v`` (variances; of three or more
+    covariates only the diagonal) and ``<name>0`` (at zero).
     With ``varying`` the second covariate is that expression times ln(1 + event time).
     """
     p = len(xs)
     out = []
     if varying is None:
-        out.append(f"{name}d AS (SELECT time, event, {', '.join(f'CAST({x} AS DOUBLE) AS x{k}' for k, x in enumerate(xs))} FROM study)")
+        out.append(f"{name}d AS (SELECT time, event, {', '.join(f'CAST({x} AS DOUBLE) AS x{k}' for k, x in enumerate(xs))} FROM {source})")
     else:
         out.append(
-            f"{name}d AS (SELECT t.time, CASE WHEN study.time = t.time THEN event ELSE 0 END AS event, CAST({xs[0]} AS DOUBLE) AS x0, "
-            f"CAST({xs[0]} AS DOUBLE) * ln(1 + t.time) AS x1 FROM (SELECT DISTINCT time FROM study WHERE event = 1) t JOIN study ON study.time >= t.time)"
+            f"{name}d AS (SELECT t.time, CASE WHEN r.time = t.time THEN event ELSE 0 END AS event, CAST({xs[0]} AS DOUBLE) AS x0, "
+            f"CAST({xs[0]} AS DOUBLE) * ln(1 + t.time) AS x1 FROM (SELECT DISTINCT time FROM {source} WHERE event = 1) t JOIN {source} r ON r.time >= t.time)"
         )
         p = 2
     pairs = [(j, k) for j in range(p) for k in range(j, p)]
@@ -191,6 +236,11 @@ def cox_sql(xs: list[str], steps: int = 8, name: str = "cx", varying: str | None
         out.append(f"{n}i AS (SELECT {terms} FROM {n}m)")
         if p == 1:
             step = "b0 + u0 / i00 AS b0"
+        elif p > 2:
+            out.append(solve_sql(f"{n}z", f"{n}i", p, {"r": [f"u{k}" for k in range(p)]}))
+            step = ", ".join(f"b{k} + r{k} AS b{k}" for k in range(p))
+            out.append(f"{name}b{s + 1} AS MATERIALIZED (SELECT {step} FROM {n}z_{p}, {name}b{s})")
+            continue
         else:
             det = "(i00 * i11 - i01 * i01)"
             step = f"b0 + (i11 * u0 - i01 * u1) / {det} AS b0, b1 + (i00 * u1 - i01 * u0) / {det} AS b1"
@@ -201,6 +251,11 @@ def cox_sql(xs: list[str], steps: int = 8, name: str = "cx", varying: str | None
     if p == 2:
         det = "(i00 * i11 - i01 * i01)"
         out.append(f"{name}v AS (SELECT i11 / {det} AS v00, i00 / {det} AS v11, -i01 / {det} AS v01, ll FROM {name}i)")
+    elif p > 2:
+        unit = {f"c{c}_": ["1.0::DOUBLE" if j == c else "0.0::DOUBLE" for j in range(p)] for c in range(p)}
+        out.append(solve_sql(f"{name}w", f"{name}i", p, unit))
+        diagonal = ", ".join(f"c{k}_{k} AS v{k}{k}" for k in range(p))
+        out.append(f"{name}v AS (SELECT {diagonal}, ll FROM {name}w_{p}, {name}i)")
     else:
         out.append(f"{name}v AS (SELECT 1 / i00 AS v00, ll FROM {name}i)")
     return ",\n".join(out)
@@ -256,12 +311,12 @@ def cox_global(spark, folder):
 
 @query(
     f"WITH {STUDY},\n{cox_sql(_XS)},\n{cox_sql(_XS[1:], name='ca')},\n{cox_sql(_XS[:1], name='cb')} "
-    "SELECT 'exposed' AS variable, round(2 * (cxi.ll - cai.ll), 4) AS lr, 1 AS df FROM cxi, cai "
-    "UNION ALL SELECT 'balance_k', round(2 * (cxi.ll - cbi.ll), 4), 1 FROM cxi, cbi"
+    f"SELECT 'exposed' AS variable, round(2 * (cxi.ll - cai.ll), 4) AS lr, 1 AS df, round({p_sql('2 * (cxi.ll - cai.ll)')}, 5) AS global_p FROM cxi, cai "
+    f"UNION ALL SELECT 'balance_k', round(2 * (cxi.ll - cbi.ll), 4), 1, round({p_sql('2 * (cxi.ll - cbi.ll)')}, 5) FROM cxi, cbi"
 )
 def cox_variable_tests(spark, folder):
-    rows, fit = _fit(spark, folder)
-    return C.variable_tests(rows, fit).withColumn("lr", F.round("lr", 4)).drop("global_p")
+    _, fit = _fit(spark, folder)
+    return C.variable_tests(fit).withColumns({"lr": F.round("lr", 4), "global_p": F.round("global_p", 5)})
 
 
 @query(
@@ -270,43 +325,75 @@ def cox_variable_tests(spark, folder):
     f"UNION ALL SELECT 'balance_k', 'balance_k', NULL, {_z(1)}, round({p_sql('2 * (cxv.ll - cbi.ll)')}, 5) FROM cxb, cxv, cbi"
 )
 def cox_table(spark, folder):
-    rows, fit = _fit(spark, folder)
-    out = C.cox_table(rows, fit).withColumn("global_p", F.round("global_p", 5))
+    _, fit = _fit(spark, folder)
+    out = C.cox_table(fit).withColumn("global_p", F.round("global_p", 5))
     return _r(out, "coef", "se", "hr", "lower", "upper", "z", "p")
 
 
-@query(None)
+_BANDS = ["low", "debt", "high"]
+_ARM_XS = [f"CASE WHEN arm = '{a}' THEN 1 ELSE 0 END" for a in _ARMS[1:]]
+_BAND_XS = [f"CASE WHEN band = '{b}' THEN 1 ELSE 0 END" for b in _BANDS[1:]]
+
+
+def _factors_sql() -> str:
+    rows = []
+    for k, (v, lv) in enumerate([("arm", a) for a in _ARMS[1:]] + [("band", b) for b in _BANDS[1:]]):
+        lr, df = ("2 * (cxv.ll - fbi.ll)", 4) if v == "arm" else ("2 * (cxv.ll - fai.ll)", 2)
+        rows.append(f"SELECT '{v}{lv}' AS term, '{v}' AS variable, '{lv}' AS level, {_z(k)}, round({even_p_sql(lr, df)}, 5) AS global_p FROM cxb, cxv, fai, fbi")
+    return (
+        f"WITH {STUDY},\n{cox_sql(_ARM_XS + _BAND_XS)},\n{cox_sql(_ARM_XS, name='fa')},\n{cox_sql(_BAND_XS, name='fb')} " + " UNION ALL ".join(rows)
+    )
+
+
+@query(_factors_sql())
 def cox_factors(spark, folder):
     """A model of two factors with several levels, and their joint tests."""
     rows = views.study(spark, folder)
-    levels = {"arm": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"], "band": ["low", "debt", "high"]}
-    return C.cox_table(rows, C.cox_fit(rows, "time", "event", ["arm", "band"], levels))
+    out = C.cox_table(C.cox_fit(rows, "time", "event", ["arm", "band"], {"arm": _ARMS, "band": _BANDS}))
+    return _r(out.withColumn("global_p", F.round("global_p", 5)), "coef", "se", "hr", "lower", "upper", "z", "p")
 
 
 @query(
     f"WITH {STUDY},\n{cox_sql(_XS)} SELECT 0 AS place, 'exposed' AS variable, 'No' AS level, (SELECT count(*) FROM study WHERE exposed = 'No') AS n, true AS reference, "
-    "CAST(1 AS DOUBLE) AS hr, CAST(NULL AS DOUBLE) AS lower, CAST(NULL AS DOUBLE) AS upper "
+    "CAST(1 AS DOUBLE) AS hr, CAST(NULL AS DOUBLE) AS lower, CAST(NULL AS DOUBLE) AS upper, CAST(NULL AS DOUBLE) AS p "
     "UNION ALL SELECT 1, 'exposed', 'Yes', (SELECT count(*) FROM study WHERE exposed = 'Yes'), false, round(exp(b0), 6), "
-    "round(exp(b0 - 1.959963984540054 * sqrt(v00)), 6), round(exp(b0 + 1.959963984540054 * sqrt(v00)), 6) FROM cxb, cxv "
+    f"round(exp(b0 - 1.959963984540054 * sqrt(v00)), 6), round(exp(b0 + 1.959963984540054 * sqrt(v00)), 6), round({p_sql('b0 * b0 / v00')}, 6) FROM cxb, cxv "
     "UNION ALL SELECT 2, 'balance_k', NULL, (SELECT count(*) FROM study), false, round(exp(b1), 6), "
-    "round(exp(b1 - 1.959963984540054 * sqrt(v11)), 6), round(exp(b1 + 1.959963984540054 * sqrt(v11)), 6) FROM cxb, cxv"
+    f"round(exp(b1 - 1.959963984540054 * sqrt(v11)), 6), round(exp(b1 + 1.959963984540054 * sqrt(v11)), 6), round({p_sql('b1 * b1 / v11')}, 6) FROM cxb, cxv"
 )
 def forest_rows(spark, folder):
     rows, fit = _fit(spark, folder)
-    return _r(C.forest_rows(rows, fit), "hr", "lower", "upper").drop("p")
+    return _r(C.forest_rows(rows, fit), "hr", "lower", "upper", "p")
 
 
 def _tt_fit(spark: SparkSession, folder: str) -> C.CoxFit:
     return C.cox_tt(views.study(spark, folder), "time", "event", ["exposed"], "exposed", LEVELS)
 
 
+def _z4(k: int) -> str:
+    """As :func:`_z`, to as many digits as two different sums of a time-varying model agree in."""
+    return _z(k).replace(", 6)", ", 4)")
+
+
+def _r4(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 4) for c in ("coef", "se", "hr", "lower", "upper", "z", "p")})
+
+
 @query(
-    f"WITH {STUDY},\n{cox_sql(_XS[:1], varying='x')} SELECT 'exposedYes' AS term, round(b0, 5) AS coef, round(sqrt(v00), 5) AS se FROM cxb, cxv "
-    "UNION ALL SELECT 'tt(exposed)', round(b1, 5), round(sqrt(v11), 5) FROM cxb, cxv"
+    f"WITH {STUDY},\n{cox_sql(_XS[:1], varying='x')} SELECT 'exposedYes' AS term, 'exposed' AS variable, 'Yes' AS level, {_z4(0)} FROM cxb, cxv "
+    f"UNION ALL SELECT 'tt(exposed)', 'exposed', 'tt', {_z4(1)} FROM cxb, cxv"
 )
 def cox_tt(spark, folder):
-    out = C.coefficients(_tt_fit(spark, folder))
-    return out.select("term", F.round("coef", 5).alias("coef"), F.round("se", 5).alias("se"))
+    return _r4(C.coefficients(_tt_fit(spark, folder)))
+
+
+@query(
+    f"WITH {STUDY},\n{cox_sql(_XS[1:], varying='x')} SELECT 'balance_k' AS term, 'balance_k' AS variable, NULL AS level, {_z4(0)} FROM cxb, cxv "
+    f"UNION ALL SELECT 'tt(balance_k)', 'balance_k', 'tt', {_z4(1)} FROM cxb, cxv"
+)
+def cox_tt_numeric(spark, folder):
+    """An effect over time of a covariate that has a value of its own on nearly every row."""
+    return _r4(C.coefficients(C.cox_tt(_study(spark, folder), "time", "event", ["balance_k"], "balance_k")))
 
 
 @query(
@@ -339,7 +426,7 @@ ad AS (SELECT lv, tp, s, sqrt(g0 * g0 * v00 + 2 * g0 * g1 * v01 + g1 * g1 * v11
 )
 def adjusted_survival(spark, folder):
     rows, fit = _fit(spark, folder)
-    out = C.adjusted_survival(rows, fit, "exposed", times=_AT)
+    out = C.adjusted_survival(fit, "exposed", times=_AT)
     return out.withColumns({c: F.round(c, 5) for c in ("survival", "std_err", "lower", "upper")})
 
 
@@ -365,24 +452,56 @@ def adjusted_median(spark, folder):
     """Medians of curves standardised over a model of factors only, so rows are merged by profile."""
     rows = views.study(spark, folder).withColumn("wealth", F.when(F.col("balance") >= 5000, "high").otherwise("low"))
     fit = C.cox_fit(rows, "time", "event", ["exposed", "wealth"], {**LEVELS, "wealth": ["low", "high"]})
-    return _r(C.adjusted_median(C.adjusted_survival(rows, fit, "exposed"), "exposed"), "q", "ci_lower", "ci_upper")
+    return _r(C.adjusted_median(C.adjusted_survival(fit, "exposed"), "exposed"), "q", "ci_lower", "ci_upper")
 
 
 @query(
-    f"WITH {STUDY},\n{cox_sql(_XS)}, mt AS (SELECT time, avg(m0) AS a0, avg(m1) AS a1 FROM cx_{_LAST}m GROUP BY time), "
-    "rs AS (SELECT cxd.time AS g, x0 - a0 AS r0, x1 - a1 AS r1 FROM cxd JOIN mt ON mt.time = cxd.time WHERE event = 1), "
-    "gb AS (SELECT avg(g) AS gb, count(*) AS n FROM rs), "
-    "su AS (SELECT sum((g - gb) * (g - gb)) AS gg, sum((g - gb) * r0) AS g0, sum((g - gb) * r1) AS g1, sum(r0 * r0) AS r00, sum(r0 * r1) AS r01, sum(r1 * r1) AS r11, any_value(n) AS n FROM rs, gb), "
-    "sc AS (SELECT *, n * (v00 * g0 + v01 * g1) AS s0, n * (v01 * g0 + v11 * g1) AS s1, "
-    "n * n * (v00 * v00 * r00 + 2 * v00 * v01 * r01 + v01 * v01 * r11) AS q0, n * n * (v01 * v01 * r00 + 2 * v01 * v11 * r01 + v11 * v11 * r11) AS q1 FROM su, cxv) "
-    "SELECT 'exposedYes' AS term, round(s0 / sqrt(gg * q0), 4) AS rho, round(s0 * s0 / (v00 * n * gg), 4) AS chisq, 1 AS df FROM sc "
-    "UNION ALL SELECT 'balance_k', round(s1 / sqrt(gg * q1), 4), round(s1 * s1 / (v11 * n * gg), 4), 1 FROM sc "
-    "UNION ALL SELECT 'GLOBAL', NULL, round((g0 * g0 * v00 + 2 * g0 * g1 * v01 + g1 * g1 * v11) * n / gg, 4), 2 FROM sc"
+    f"WITH {STUDY},\n{cox_sql(_XS)},{_profile_sql()}, "
+    "km AS (SELECT lv, tp AS time, s, greatest(s - 1.959963984540054 * se, 0) AS lo, least(s + 1.959963984540054 * se, 1) AS hi FROM ad) "
+    f"SELECT CASE lv WHEN 1 THEN 'Yes' ELSE 'No' END AS \"group\", {median_sql('s', 'q')}, {median_sql('lo', 'ci_lower')}, {median_sql('hi', 'ci_upper')} FROM km GROUP BY lv"
 )
-def ph_check(spark, folder):
+def adjusted_median_numeric(spark, folder):
+    """Medians of standardised curves where a covariate is continuous: searched for, no curve is made."""
+    _, fit = _fit(spark, folder)
+    return _r(C.adjusted_median_search(fit, "exposed"), "q", "ci_lower", "ci_upper")
+
+
+def _ph_sql(g: str, more: str = "") -> str:
+    """Scaled residuals against a transform of time; ``g`` is its expression over ``cxd`` and ``mt``."""
+    return (
+        f"WITH {STUDY},\n{cox_sql(_XS)}, mt AS (SELECT time, avg(m0) AS a0, avg(m1) AS a1 FROM cx_{_LAST}m GROUP BY time){more}, "
+        f"rs AS (SELECT {g} AS g, x0 - a0 AS r0, x1 - a1 AS r1 FROM cxd JOIN mt ON mt.time = cxd.time WHERE event = 1), "
+        "gb AS (SELECT avg(g) AS gb, count(*) AS n FROM rs), "
+        "su AS (SELECT sum((g - gb) * (g - gb)) AS gg, sum((g - gb) * r0) AS g0, sum((g - gb) * r1) AS g1, sum(r0 * r0) AS r00, sum(r0 * r1) AS r01, sum(r1 * r1) AS r11, any_value(n) AS n FROM rs, gb), "
+        "sc AS (SELECT *, n * (v00 * g0 + v01 * g1) AS s0, n * (v01 * g0 + v11 * g1) AS s1, "
+        "n * n * (v00 * v00 * r00 + 2 * v00 * v01 * r01 + v01 * v01 * r11) AS q0, n * n * (v01 * v01 * r00 + 2 * v01 * v11 * r01 + v11 * v11 * r11) AS q1 FROM su, cxv), "
+        "ct AS (SELECT 'exposedYes' AS term, s0 / sqrt(gg * q0) AS rho, s0 * s0 / (v00 * n * gg) AS chisq, 1 AS df FROM sc "
+        "UNION ALL SELECT 'balance_k', s1 / sqrt(gg * q1), s1 * s1 / (v11 * n * gg), 1 FROM sc "
+        "UNION ALL SELECT 'GLOBAL', NULL, (g0 * g0 * v00 + 2 * g0 * g1 * v01 + g1 * g1 * v11) * n / gg, 2 FROM sc) "
+        f"SELECT term, round(rho, 4) AS rho, round(chisq, 4) AS chisq, df, round(CASE df WHEN 1 THEN {p_sql('chisq')} ELSE exp(-chisq / 2) END, 4) AS p FROM ct"
+    )
+
+
+def _ph(spark: SparkSession, folder: str, transform: str) -> DataFrame:
     rows, fit = _fit(spark, folder)
-    out = C.ph_check(rows, fit, transform="identity")
-    return out.select("term", F.round("rho", 4).alias("rho"), F.round("chisq", 4).alias("chisq"), "df")
+    out = C.ph_check(rows, fit, transform=transform)
+    return out.withColumns({c: F.round(c, 4) for c in ("rho", "chisq", "p")})
+
+
+@query(_ph_sql("cxd.time"))
+def ph_check(spark, folder):
+    return _ph(spark, folder, "identity")
+
+
+@query(
+    _ph_sql(
+        "(SELECT any_value(before) FROM kb WHERE kb.time = cxd.time)",
+        "," + km_sql("(SELECT 1 AS one, time, event FROM study)", "one").replace("GROUP BY 1, 2)", "GROUP BY one, time)")
+        + ", kb AS (SELECT time, 1 - coalesce(lag(s) OVER (ORDER BY time), 1) AS before FROM km)",
+    )
+)
+def ph_check_km(spark, folder):
+    return _ph(spark, folder, "km")
 
 
 @query(
@@ -393,3 +512,14 @@ def subgroup(spark, folder):
     sub = views.study(spark, folder).where(F.col("band").isin("low", "high"))
     curve = K.kaplan_meier(sub, "time", "event", ["exposed"])
     return _r(K.median_survival(curve, ["exposed"]), "median", "lower95", "upper95")
+
+
+@query(
+    f"WITH {STUDY}, sub AS (SELECT * FROM study WHERE band IN ('low', 'high')),\n{cox_sql(_XS, source='sub')} "
+    f"SELECT 'exposedYes' AS term, 'exposed' AS variable, 'Yes' AS level, {_z(0)}, (SELECT count(*) FROM sub) AS n FROM cxb, cxv "
+    f"UNION ALL SELECT 'balance_k', 'balance_k', NULL, {_z(1)}, (SELECT count(*) FROM sub) FROM cxb, cxv"
+)
+def subgroup_cox(spark, folder):
+    sub = _study(spark, folder).where(F.col("band").isin("low", "high"))
+    fit = C.cox_fit(sub, "time", "event", ["exposed", "balance_k"], LEVELS)
+    return _r(C.coefficients(fit), "coef", "se", "hr", "lower", "upper", "z", "p").withColumn("n", F.lit(fit.n).cast("long"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hazardline.operators import cox as C
 from hazardline.operators import kaplan_meier as K
+from hazardline.operators import tiles
 
 ARM = {"arm": ["No", "Yes"]}
 
@@ -127,7 +128,7 @@ def test_cox_against_dense_newton(fit, cohort):
 def test_heavy_ties_and_cut_times_give_the_same(fit, monkeypatch):
     base = C._newton_row(C._risk_sums(fit.design, fit.scaled_beta, 2, {"bounded": True}), 2, False)
     monkeypatch.setattr(C, "TIE_CHUNK", 2)
-    heavy = C._newton_row(C._risk_sums(fit.design, fit.scaled_beta, 2, {"floor": 5, "segments": 4}), 2, True)
+    heavy = C._newton_row(C._risk_sums(fit.design, fit.scaled_beta, 2, {"floor": 5}), 2, True)
     assert heavy == pytest.approx(base, rel=1e-9, abs=1e-7)
 
 
@@ -138,9 +139,8 @@ def test_concordance_against_all_pairs(fit, cohort):
     for i in np.flatnonzero(e):
         later = (t > t[i]) | ((t == t[i]) & (e == 0))
         want += [(later & (s < s[i])).sum(), (later & (s > s[i])).sum(), (later & (s == s[i])).sum()]
-    for cuts in (4, 200):
-        got = C.concordance_counts(fit, cuts=cuts)
-        assert [got[k] for k in ("concordant", "discordant", "tied_risk")] == list(want)
+    got = C.concordance_counts(fit)
+    assert [got[k] for k in ("concordant", "discordant", "tied_risk")] == list(want)
 
 
 def test_concordance_with_tied_scores(spark, df, cohort):
@@ -150,13 +150,15 @@ def test_concordance_with_tied_scores(spark, df, cohort):
     for i in np.flatnonzero(e):
         later = (t > t[i]) | ((t == t[i]) & (e == 0))
         want += [(later & (x < x[i])).sum(), (later & (x == x[i])).sum()]
-    got = C.concordance_counts(only, cuts=3)
+    got = C.concordance_counts(only)
     assert [got["concordant"], got["tied_risk"]] == list(want)
 
 
-def test_time_varying_effect_both_ways(df, cohort):
+def test_time_varying_effect_both_ways(df, cohort, monkeypatch):
     by_level = C.cox_tt(df, "t", "e", ["arm", "age"], "arm", ARM)
-    by_row = C.cox_tt(df, "t", "e", ["arm", "age"], "arm", ARM, max_levels=1)
+    monkeypatch.setattr(tiles, "BLOCK", 7)
+    monkeypatch.setattr(tiles, "BROADCAST_BLOCKS", 0)
+    by_row = C.cox_tt(df, "t", "e", ["arm", "age"], "arm", ARM)
     X = np.c_[cohort.x, cohort.age - 60, cohort.x]
     b, v, _ = dense(X, cohort.t.to_numpy(), cohort.e.to_numpy(), lambda z, s: z * np.array([1, 1, math.log1p(s)]))
     assert by_level.beta == pytest.approx(b, abs=1e-5) and by_row.beta == pytest.approx(b, abs=1e-5)
@@ -169,8 +171,8 @@ def test_time_varying_effect_both_ways(df, cohort):
     assert len(curve) == 200 and curve[0]["hr"] == pytest.approx(math.exp(by_level.beta[0]))
 
 
-def test_adjusted_curve_against_direct_average(df, fit, cohort):
-    got = C.adjusted_survival(df, fit, "arm").orderBy("arm", "time").toPandas()
+def test_adjusted_curve_against_direct_average(df, fit, cohort, monkeypatch):
+    got = C.adjusted_survival(fit, "arm").orderBy("arm", "time").toPandas()
     z = (np.c_[cohort.x, cohort.age] - fit.mean) / fit.scale
     b, t, e = fit.scaled_beta, cohort.t.to_numpy(), cohort.e.to_numpy()
     times, hazard, h = np.unique(t[e == 1]), [], 0.0
@@ -186,16 +188,34 @@ def test_adjusted_curve_against_direct_average(df, fit, cohort):
         r = np.exp(zz @ b)
         want = [np.exp(-h * r).mean() for h in hazard]
         assert got[got.arm == level]["survival"].to_numpy() == pytest.approx(np.array(want), abs=1e-10)
-    parts = C.adjusted_survival(df, fit, "arm", chunk=7).orderBy("arm", "time").toPandas()
+    monkeypatch.setattr(tiles, "BLOCK", 7)
+    monkeypatch.setattr(tiles, "BROADCAST_BLOCKS", 0)
+    parts = C.adjusted_survival(fit, "arm").orderBy("arm", "time").toPandas()
     pd.testing.assert_frame_equal(got, parts)
-    grid = C.adjusted_survival(df, fit, "arm", times=[0.5, 10.0]).toPandas()
+    grid = C.adjusted_survival(fit, "arm", times=[0.5, 10.0]).toPandas()
     assert grid[grid.time == 0.5]["survival"].tolist() == [1.0, 1.0]
-    assert set(C.adjusted_median(C.adjusted_survival(df, fit, "arm"), "arm").columns) == {"group", "q", "ci_lower", "ci_upper"}
+    whole = C.adjusted_median(C.adjusted_survival(fit, "arm"), "arm").orderBy("group").collect()
+    for sections in (2, 5):
+        assert C.adjusted_median_search(fit, "arm", sections).orderBy("group").collect() == whole
+
+
+def test_unsettled_fits_are_errors(df, monkeypatch):
+    monkeypatch.setattr(C, "MAX_STEPS", 1)
+    with pytest.raises(ValueError, match="did not settle"):
+        C.cox_fit(df, "t", "e", ["arm", "age"], ARM)
+    assert not C.cox_fit(df, "t", "e", ["arm", "age"], ARM, unsettled="return").converged
+
+
+def test_reduced_models_move_together(df, fit):
+    got = {r["variable"]: r for r in C.variable_tests(fit).collect()}
+    for v, other in (("arm", "age"), ("age", "arm")):
+        alone = C.cox_fit(df, "t", "e", [other], ARM if other == "arm" else {})
+        assert got[v]["lr"] == pytest.approx(2 * (fit.loglik - alone.loglik), abs=1e-6) and got[v]["df"] == 1
 
 
 def test_adjusted_curve_without_other_covariates_is_the_model_curve(df):
     only = C.cox_fit(df, "t", "e", ["arm"], ARM)
-    got = C.adjusted_survival(df, only, "arm", times=[10.0]).toPandas().set_index("arm")["survival"]
+    got = C.adjusted_survival(only, "arm", times=[10.0]).toPandas().set_index("arm")["survival"]
     h = C.baseline(only).where("time <= 10").agg(F.max("hazard")).first()[0]
     want = {lv: math.exp(-h * math.exp(only.scaled_beta[0] * ((i - only.mean[0]) / only.scale[0]))) for i, lv in enumerate(("No", "Yes"))}
     assert got.to_dict() == pytest.approx(want)
@@ -208,7 +228,7 @@ def test_tables(df, fit):
     forest = C.forest_rows(df, fit).orderBy("place").collect()
     assert [(r["level"], r["reference"]) for r in forest] == [("No", True), ("Yes", False), (None, False)]
     assert forest[0]["hr"] == 1.0 and forest[0]["n"] + forest[1]["n"] == forest[2]["n"] == 300
-    table = C.cox_table(df, fit).collect()
+    table = C.cox_table(fit).collect()
     assert all(0 <= r["global_p"] <= 1 for r in table)
     assert C.covariance(fit).count() == 4
 
@@ -240,3 +260,51 @@ def test_unknown_levels_and_missing_rows_are_left_out(df):
     assert C.cox_fit(more, "t", "e", ["arm", "age"], ARM).n == 300
     with pytest.raises(ValueError):
         C.cox_fit(df.where("false"), "t", "e", ["age"])
+
+
+def test_many_groups_against_dense_logrank(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    g, t, e = rng.integers(0, 90, 900), rng.integers(1, 40, 900).astype(float), rng.integers(0, 2, 900)
+    df = spark.createDataFrame(pd.DataFrame({"t": t, "e": e, "g": [f"g{x:03d}" for x in g]}))
+    levels = np.unique(g)
+    k = len(levels)
+    o, x, v = np.zeros(k), np.zeros(k), np.zeros((k, k))
+    for s in np.unique(t[e == 1]):
+        n = np.array([((g == a) & (t >= s)).sum() for a in levels], float)
+        d = np.array([((g == a) & (t == s) & (e == 1)).sum() for a in levels], float)
+        N, D = n.sum(), d.sum()
+        o, x = o + d, x + D * n / N
+        if N > 1:
+            v += D * (N - D) / (N - 1) * (np.diag(n / N) - np.outer(n, n) / N**2)
+    u = (o - x)[:-1]
+    chi2 = u @ np.linalg.pinv(v[:-1, :-1]) @ u
+    monkeypatch.setattr(tiles, "BLOCK", 5)
+    got = K.logrank(df, "t", "e", "g").orderBy("g").collect()
+    assert len(got) == k > 64 and [r["observed"] for r in got] == list(o)
+    assert [r["expected"] for r in got] == pytest.approx(list(x)) and got[0]["chisq"] == pytest.approx(chi2) and got[0]["df"] == k - 1
+    pairs = K.pairwise_logrank(df, "t", "e", "g")
+    assert pairs.count() == k * (k - 1) // 2
+    two = df.where("g in ('g003', 'g017')")
+    assert pairs.where("group1 = 'g003' and group2 = 'g017'").first()["chisq"] == pytest.approx(K.logrank(two, "t", "e", "g").first()["chisq"])
+
+
+def test_pairwise_jobs_do_not_grow_with_groups(spark):
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(groups: int) -> int:
+        rows = [(float(i % 17 + 1), i % 2, f"g{i % groups}") for i in range(200)]
+        df = spark.createDataFrame(rows, "t double, e int, g string")
+        spark.sparkContext.setJobGroup(f"pairs-{groups}", "")
+        K.pairwise_logrank(df, "t", "e", "g")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(f"pairs-{groups}"))
+
+    assert jobs(3) == jobs(12)
+
+
+def test_risk_table_by_stratum_with_fine_breaks(df, cohort):
+    got = K.risk_table(K.kaplan_meier(df, "t", "e", ["arm"]), ["arm"], step=0.25, x_end=40).collect()
+    assert len(got) == 2 * 161
+    for r in got:
+        own = cohort[cohort.x == (r["arm"] == "Yes")]
+        assert r["n_risk"] == (own.t >= r["time"]).sum() and r["cum_events"] == ((own.t <= r["time"]) & (own.e == 1)).sum()
