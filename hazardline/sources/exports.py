@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 import warnings
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Ending of the folder that holds the marks of a table's copies.
+MARKS = ".marks"
+
 
 def results_path(kind: str, root: str = "results", day: dt.date | None = None) -> str:
     """``<root>/<date>_<kind>``."""
@@ -32,40 +36,35 @@ def save_cleaned(
     latest: bool = True,
     day: dt.date | None = None,
 ) -> dict[str, str]:
-    """A dated Parquet and CSV copy, and the overwritten ``latest_`` copy.
+    """A dated Parquet and CSV copy, and with ``latest`` the mark that makes it the latest one.
 
-    The table is computed once, for the Parquet copy; the others are read back from it. ``csv2``
-    writes ``;`` with a decimal comma.
+    The table is computed and written once, as Parquet, under a name of its own; the CSV copy is read back from it. ``csv2``
+    writes ``;`` with a decimal comma. The latest copy is a mark that names the Parquet copy: one small file, added when all
+    data are there. So a run that fails leaves the mark of the run before, runs at the same time do not mix, and who reads
+    the earlier copy keeps it.
     """
-    stamp = (day or dt.date.today()).isoformat()
-    paths = {
-        "parquet": f"{folder}/{prefix}_{stamp}_data.parquet",
-        "csv": f"{folder}/{prefix}_{stamp}_data.csv",
-    }
-    df.write.mode("overwrite").parquet(paths["parquet"])
-    saved = df.sparkSession.read.schema(df.schema).parquet(paths["parquet"])
-    write_csv(saved, paths["csv"], ";" if csv2 else ",", "," if csv2 else ".")
+    stamp, run = (day or dt.date.today()).isoformat(), uuid.uuid4().hex[:12]
+    name = f"{prefix}_{stamp}_{run}_data.parquet"
+    paths = {"parquet": f"{folder}/{name}", "csv": f"{folder}/{prefix}_{stamp}_data.csv"}
+    spark = df.sparkSession
+    df.write.mode("errorifexists").parquet(paths["parquet"])
+    write_csv(spark.read.schema(df.schema).parquet(paths["parquet"]), paths["csv"], ";" if csv2 else ",", "," if csv2 else ".")
     if latest:
-        paths["latest"] = f"{folder}/latest_{prefix}_data.parquet"
-        saved.write.mode("overwrite").parquet(paths["latest"])
+        paths["latest"] = f"{folder}/latest_{prefix}{MARKS}"
+        mark = spark.range(1).select(
+            F.lit(prefix).alias("prefix"), F.lit(name).alias("name"), F.lit(run).alias("run"), F.unix_micros(F.current_timestamp()).alias("at")
+        )
+        mark.coalesce(1).write.mode("append").json(paths["latest"])
     return paths
 
 
 def read_latest(spark: SparkSession, folder: str = "data/cleaned") -> dict[str, DataFrame]:
-    """Every ``latest_*`` table by its name without ``latest_`` and ``_data``."""
-    pattern = r"/latest_([^/]+?)(?:_data)?\.parquet/"
+    """The latest table of each prefix saved in ``folder``: the one marked last."""
     try:
-        files = spark.read.format("binaryFile").load(f"{folder}/latest_*.parquet").select("path")
-        names = [r[0] for r in files.select(F.regexp_extract("path", pattern, 1)).distinct().collect()]
+        marks = spark.read.schema("prefix string, name string, run string, at long").json(f"{folder}/latest_*{MARKS}")
+        rows = marks.groupBy("prefix").agg(F.max_by("name", F.struct("at", "run")).alias("name")).collect()
     except AnalysisException:
-        names = []
-    if not names:
+        rows = []
+    if not rows:
         warnings.warn(f"no latest_ table found under {folder}", stacklevel=2)
-        return {}
-    out = {}
-    for n in sorted(names):
-        try:
-            out[n] = spark.read.parquet(f"{folder}/latest_{n}_data.parquet")
-        except AnalysisException:
-            out[n] = spark.read.parquet(f"{folder}/latest_{n}.parquet")
-    return out
+    return {r["prefix"]: spark.read.parquet(f"{folder}/{r['name']}") for r in sorted(rows)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,7 @@ def guess_schema(text: DataFrame, as_text: Sequence[str] = ()) -> T.StructType:
     """Types that fit every value of an all-text table, in one aggregation over all its rows.
 
     Whole number (32 bits, else 64), then double, then ISO date, then text; an empty column is text, and so is one in which a
-    whole number has a leading zero, which a number would lose.
+    whole number has a leading zero, which a number would lose, or a date that no calendar has.
     """
     names = [c for c in text.columns if c not in as_text]
     tests = {
@@ -34,7 +34,11 @@ def guess_schema(text: DataFrame, as_text: Sequence[str] = ()) -> T.StructType:
     }
     aggs = [F.count(F.col(f"`{c}`")).alias(f"n_{i}") for i, c in enumerate(names)]
     for kind, pattern in tests.items():
-        aggs += [F.count(F.when(F.col(f"`{c}`").rlike(pattern), 1)).alias(f"{kind}_{i}") for i, c in enumerate(names)]
+        for i, c in enumerate(names):
+            fits = F.col(f"`{c}`").rlike(pattern)
+            if kind == "date":
+                fits = fits & F.col(f"`{c}`").try_cast("date").isNotNull()
+            aggs.append(F.count(F.when(fits, 1)).alias(f"{kind}_{i}"))
     row = text.agg(*aggs).first() if names else None
     types = {"int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(), "date": T.DateType()}
     chosen: dict[str, T.DataType] = {}
@@ -52,41 +56,61 @@ def read_registry(
     fmt: str = "csv",
     sep: str = ",",
     as_text: Sequence[str] = LAB_MARKERS,
-    sequence: str = "row_seq",
+    sequence: str | None = "row_seq",
 ) -> DataFrame:
     """The flat export as one wide table.
 
-    With a schema the file is read once. Without one, types are those that fit all rows, at the cost of a second read;
-    lab markers always stay text. Quoted values may have line breaks, so one CSV file is one task: large exports are
-    better kept as many files, JSON lines or Parquet. ``row_seq`` keeps the order of rows within a file, unless the export
-    brings such a column itself.
+    Types are those of the schema; without one, those that fit all rows, at the cost of another read; lab markers then
+    stay text. A value that does not fit its type is an error. Quoted values may have line breaks, so one CSV file is one
+    task: large exports are better kept as many files, JSON lines or Parquet. ``row_seq`` numbers the rows from 0 in the
+    order of the source (see :func:`in_source_order`), unless the export brings such a column itself or it is None.
     """
+    options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": True, "nullValue": ""}
     if fmt == "parquet":
         out = spark.read.parquet(path)
     elif fmt == "json":
         out = (spark.read.schema(schema) if schema else spark.read).json(path)
     elif fmt == "csv":
-        options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": True}
-        if schema is not None:
-            out = spark.read.options(**options).schema(schema).csv(path)
-        else:
-            text = spark.read.options(**options, nullValue="").csv(path)
-            out = apply_types(text, guess_schema(text, as_text))
+        out = spark.read.options(**options).csv(path)
+        schema = schema or guess_schema(out, as_text)
     else:
         raise ValueError("fmt must be 'csv', 'json' or 'parquet'")
-    if sequence not in out.columns:
-        out = out.withColumn(sequence, F.monotonically_increasing_id())
-    return out
+    if sequence is not None and sequence not in out.columns:
+        out = in_source_order(out, sequence)
+        if schema is not None:
+            schema = T.StructType([*schema.fields, T.StructField(sequence, T.LongType())])
+    return apply_types(out, schema) if fmt == "csv" else out
+
+
+def in_source_order(files: DataFrame, name: str = "row_seq") -> DataFrame:
+    """``files``, a table just read from files, with its rows numbered from 0: by the path of the file, then by place in it.
+
+    Rows are counted per file and block, from the blocks' metadata and the rows' places inside them; the blocks' offsets are
+    added up in path order. So the numbers do not depend on which task reads which file. One small row per block is
+    shuffled; the rows themselves are not.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    source = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    rows = files.select("*", source.alias("_source"), place.alias("_place"))
+    blocks = rows.groupBy("_source").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    before = Window.orderBy("_source").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(F.col("_source").alias("_block"), (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_offset"))
+    joined = rows.join(offsets, rows["_source"] == offsets["_block"])
+    return joined.select(*[F.col(f"`{c}`") for c in files.columns], (F.col("_offset") + F.col("_place")).alias(name))
 
 
 def apply_types(text: DataFrame, schema: T.StructType) -> DataFrame:
-    """Text columns to the given types; a value that does not fit is an error."""
-    return text.select(
-        *[
-            F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    """Text columns to the given types; a value that does not fit is an error that names it, whatever the session's settings."""
+
+    def typed(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if text.schema[f.name].dataType == f.dataType:
+            return c
+        value = c.try_cast(f.dataType)
+        wrong = F.raise_error(F.concat(F.lit(f"column {f.name}: not of type {f.dataType.simpleString()}: "), c))
+        return F.when(c.isNotNull() & value.isNull(), wrong).otherwise(value).alias(f.name)
+
+    return text.select(*[typed(f) for f in schema.fields])
 
 
 def text_override(schema: T.StructType, as_text: Sequence[str] = LAB_MARKERS) -> T.StructType:
@@ -131,7 +155,8 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ",",
     text = spark.read.options(header=True, sep=sep, quote='"', escape='"', nullValue="", multiLine=True).csv(path)
     if types is None:
         return apply_types(text, guess_schema(text))
-    return text.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in types.items()})
+    given = {c: T.StructType.fromDDL(f"x {t}")[0].dataType for c, t in types.items()}
+    return apply_types(text, T.StructType([T.StructField(c, given.get(c, T.StringType())) for c in text.columns]))
 
 
 def pseudonymise(df: DataFrame, salt: str, id_column: str = "record_id", name: str = "record_id_new") -> DataFrame:

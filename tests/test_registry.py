@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ def test_save_and_read_latest(spark, tmp_path):
     df = spark.createDataFrame([(1, 1.5, "a;b"), (2, None, None)], "id int, x double, t string")
     day = D(2025, 1, 2)
     paths = exports.save_cleaned(df, "lines", str(tmp_path), csv2=True, day=day)
-    assert paths["parquet"].endswith("lines_2025-01-02_data.parquet")
+    assert re.search(r"/lines_2025-01-02_[0-9a-f]{12}_data\.parquet$", paths["parquet"]) and paths["csv"].endswith("lines_2025-01-02_data.csv")
     text = [r[0] for r in spark.read.text(paths["csv"]).collect()]
     assert "id;x;t" in text and any(t.startswith("1;1,5;") for t in text)
     assert exports.read_latest(spark, str(tmp_path))["lines"].orderBy("id").collect() == df.collect()
@@ -201,3 +202,65 @@ def test_first_row_of_a_repeated_field(spark, tmp_path):
     (tmp_path / "d.csv").write_text('field_name,choices_calculations_or_slider_labels\nf,"1, Zeta"\nf,"1, Alpha"\n')
     codes = dictionary.dictionary_codes(registry.read_dictionary(spark, str(tmp_path / "d.csv"), sequence="row_seq"))
     assert [r["label"] for r in codes.where("code = '1'").collect()] == ["Zeta"]
+
+
+def test_order_over_files_of_uneven_size(spark, tmp_path):
+    sizes = {"a": 2, "b": 400, "c": 5, "d": 90}
+    for name, n in sizes.items():
+        (tmp_path / f"{name}.csv").write_text("id,v\n" + "".join(f'{name}{k},"x\ny"\n' for k in range(n)))
+        (tmp_path / f"{name}.json").write_text("".join(f'{{"id": "{name}{k}"}}\n' for k in range(n)))
+    want = [f"{name}{k}" for name, n in sizes.items() for k in range(n)]
+    for fmt in ("csv", "json"):
+        out = registry.read_registry(spark, f"{tmp_path}/*.{fmt}", fmt=fmt)
+        assert [(r["row_seq"], r["id"]) for r in out.orderBy("row_seq").collect()] == list(enumerate(want))
+    spark.range(1000).repartition(7).write.parquet(f"{tmp_path}/p")
+    out = registry.read_registry(spark, f"{tmp_path}/p", fmt="parquet")
+    assert sorted(r["row_seq"] for r in out.collect()) == list(range(1000))
+    assert "row_seq" not in registry.read_registry(spark, f"{tmp_path}/a.csv", sequence=None).columns
+
+
+def test_order_over_blocks_of_one_file(spark, tmp_path):
+    (tmp_path / "x.json").write_text("".join(f'{{"id": {k}}}\n' for k in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        out = registry.read_registry(spark, f"{tmp_path}/x.json", fmt="json")
+        assert out.rdd.getNumPartitions() > 4
+        assert out.where("id <> row_seq").isEmpty() and out.count() == 5000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_date_that_is_none_is_text(spark, tmp_path):
+    (tmp_path / "d.csv").write_text("a,b\n2021-02-28,2021-02-28\n2021-02-30,2021-03-01\n")
+    out = registry.read_registry(spark, str(tmp_path / "d.csv"))
+    assert dict(out.dtypes)["a"] == "string" and dict(out.dtypes)["b"] == "date" and out.count() == 2
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_values_that_do_not_fit_are_errors(spark, tmp_path, ansi):
+    (tmp_path / "v.csv").write_text("n,day\n1,2020-01-01\nx,2020-01-02\n")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        schema = registry.T.StructType.fromDDL("n int, day date")
+        with pytest.raises(Exception, match="column n: not of type int: x"):
+            registry.read_registry(spark, str(tmp_path / "v.csv"), schema=schema).collect()
+        with pytest.raises(Exception, match="column n: not of type int: x"):
+            registry.read_sheet(spark, str(tmp_path / "v.csv"), types={"n": "int"}).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_a_failed_run_leaves_the_latest_copy(spark, tmp_path):
+    first = spark.range(10).withColumn("v", F.lit("one"))
+    exports.save_cleaned(first, "t", str(tmp_path))
+    reading = exports.read_latest(spark, str(tmp_path))["t"]
+    broken = spark.range(10).withColumn("v", F.when(F.col("id") == 7, F.raise_error(F.lit("stop"))).otherwise("two"))
+    with pytest.raises(Exception, match="stop"):
+        exports.save_cleaned(broken, "t", str(tmp_path))
+    assert exports.read_latest(spark, str(tmp_path))["t"].where("v = 'one'").count() == 10
+    exports.save_cleaned(spark.range(3).withColumn("v", F.lit("three")), "t", str(tmp_path))
+    exports.save_cleaned(spark.range(4).withColumn("v", F.lit("u")), "u", str(tmp_path))
+    assert reading.where("v = 'one'").count() == 10  # who reads the earlier copy keeps it
+    now = exports.read_latest(spark, str(tmp_path))
+    assert now["t"].where("v = 'three'").count() == 3 and set(now) == {"t", "u"}
