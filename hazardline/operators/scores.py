@@ -20,6 +20,8 @@ NCCN = {
     0: "Low (0-1)", 1: "Low (0-1)", 2: "Low-intermediate (2-3)", 3: "Low-intermediate (2-3)",
     4: "High-intermediate (4-5)", 5: "High-intermediate (4-5)", 6: "High (6-8)", 7: "High (6-8)", 8: "High (6-8)",
 }
+FLIPI_POINTS = ["diag_flipi_age", "diag_flipi_stage", "diag_flipi_hemo", "diag_flipi_ldh", "diag_flipi_site"]
+FLIPI2_POINTS = ["diag_flipi_age", "diag_flipi2_node", "diag_flipi_hemo", "diag_flipi_b2mg", "diag_flipi2_marrow"]
 OTHER_SITES = ["diag_extranodal_site_other", "diag_extranodal_site_other_2", "diag_extranodal_site_other_3"]
 # FLIPI and FLIPI2 risk groups as published (Blood 2004;104:1258, JCO 2009;27:4555)
 FLIPI = {0: "Low", 1: "Low", 2: "Intermediate", 3: "High", 4: "High", 5: "High"}
@@ -130,17 +132,14 @@ def flipi(
     b2m_elevated: Column,
     marrow: Column,
 ) -> DataFrame:
-    """FLIPI and FLIPI2 counts and risk groups; null when a part is unknown.
+    """FLIPI and FLIPI2: their points (1, 0, or null when unknown), counts and risk groups (null when a point is).
 
     Parts are conditions or values of the caller's columns; ``stage`` is the number 1 to 4.
     """
-    first = [age > 60, stage >= 3, hemoglobin < 12, ldh_elevated, nodal_areas > 4]
-    second = [age > 60, node_cm > 6, hemoglobin < 12, b2m_elevated, marrow]
-    out = df.withColumns(
-        {
-            "diag_flipi_n": row_sum([_point(t) for t in first]),
-            "diag_flipi2_n": row_sum([_point(t) for t in second]),
-        }
+    tests = dict(zip(FLIPI_POINTS, [age > 60, stage >= 3, hemoglobin < 12, ldh_elevated, nodal_areas > 4], strict=True))
+    tests |= dict(zip(FLIPI2_POINTS, [age > 60, node_cm > 6, hemoglobin < 12, b2m_elevated, marrow], strict=True))
+    out = df.withColumns({name: _point(test) for name, test in tests.items()}).withColumns(
+        {"diag_flipi_n": row_sum(FLIPI_POINTS), "diag_flipi2_n": row_sum(FLIPI2_POINTS)}
     )
 
     def grade(column: str, bands: dict[int, str]) -> Column:

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from hazardline.plans import catalog_cleaning, catalog_lines, catalog_survival
+from hazardline.plans import catalog_cleaning, catalog_lines, catalog_runs, catalog_survival
 
-CATALOG: dict[str, tuple] = {**catalog_cleaning.Q, **catalog_lines.Q, **catalog_survival.Q}
+CATALOG: dict[str, tuple] = {**catalog_cleaning.Q, **catalog_lines.Q, **catalog_survival.Q, **catalog_runs.Q}

@@ -174,23 +174,23 @@ def rank_text_ids(spark, folder):
 
 
 @query("""
-WITH e AS (SELECT l_orderkey, l_linenumber, l_returnflag AS key, l_linestatus || CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS stamp, l_partkey,
+WITH e AS (SELECT l_orderkey, l_linenumber, l_returnflag AS key, l_linestatus || CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS stamp, l_partkey, l_suppkey,
                   CASE WHEN l_orderkey % 5 = 0 THEN l_partkey END AS v, CASE WHEN l_orderkey % 7 = 0 THEN l_suppkey END AS t
            FROM lineitem)
 SELECT l_orderkey, l_linenumber, last_value(v IGNORE NULLS) OVER d AS v, first_value(t IGNORE NULLS) OVER u AS t
-FROM e WINDOW d AS (PARTITION BY key ORDER BY stamp, l_orderkey, l_linenumber, l_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-              u AS (PARTITION BY key ORDER BY stamp, l_orderkey, l_linenumber, l_partkey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+FROM e WINDOW d AS (PARTITION BY key ORDER BY stamp, l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+              u AS (PARTITION BY key ORDER BY stamp, l_orderkey, l_linenumber, l_partkey, l_suppkey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
 """)
 def fill_text_order(spark, folder):
     """Few large keys in the order of a text with few values, cut into pieces at any scale: the pieces are made small."""
     i = table(spark, folder, "lineitem")
     e = i.select(
-        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_returnflag").alias("record_id"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_returnflag").alias("record_id"),
         F.concat("l_linestatus", F.col("l_shipdate").cast("date").cast("string")).alias("stamp"),
         F.when(F.col("l_orderkey") % 5 == 0, F.col("l_partkey")).alias("v"),
         F.when(F.col("l_orderkey") % 7 == 0, F.col("l_suppkey")).alias("t"),
     )
-    out = fill.fill(e, down=["v"], up=["t"], order=["stamp", "l_orderkey", "l_linenumber", "l_partkey"], floor=2_000)
+    out = fill.fill(e, down=["v"], up=["t"], order=["stamp", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], floor=2_000)
     return out.select("l_orderkey", "l_linenumber", "v", "t")
 
 
@@ -228,7 +228,7 @@ def roundtrip_io(spark, folder):
 
 
 def _dictionary(spark: SparkSession, folder: str) -> DataFrame:
-    n = table(spark, folder, "nation").where("n_nationkey <= 20")
+    n = table(spark, folder, "nation")
     text = F.array_join(
         F.transform(
             F.array_sort(F.collect_list(F.struct("n_nationkey", F.concat_ws(", ", F.col("n_nationkey").cast("string"), "n_name").alias("t")))),
@@ -238,22 +238,25 @@ def _dictionary(spark: SparkSession, folder: str) -> DataFrame:
     )
     one = n.agg(text.alias(dic.CHOICES)).select(F.lit("nation").alias(dic.FIELD), F.lit("<b>Nation</b>").alias(dic.LABEL), dic.CHOICES)
     segments = spark.createDataFrame(
-        [("segment", "Segment", "AUTOMOBILE, Cars, vans | BUILDING, Houses |MACHINERY,Machines")],
-        f"{dic.FIELD} string, {dic.LABEL} string, {dic.CHOICES} string",
+        [("segment", "Segment", "AUTOMOBILE, Cars, vans | BUILDING, Houses |MACHINERY,Machines", 1), ("segment", "Again", "AUTOMOBILE, A second row", 2)],
+        f"{dic.FIELD} string, {dic.LABEL} string, {dic.CHOICES} string, row_seq int",
     )
-    return one.unionByName(segments)
+    return one.withColumn("row_seq", F.lit(0)).unionByName(segments)
 
 
 @query("""
 SELECT c_custkey AS record_id,
        CASE WHEN c_custkey % 17 = 0 THEN 'Not done' ELSE n_name END AS nation,
        CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Cars, vans' WHEN 'BUILDING' THEN 'Houses' WHEN 'MACHINERY' THEN 'Machines' END AS segment
-FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey <= 20
+FROM customer LEFT JOIN nation ON n_nationkey = CASE WHEN c_custkey % 19 = 0 THEN c_nationkey + 100 ELSE c_nationkey END
 """)
 def decode_dictionary(spark, folder):
     c = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("record_id"),
-        F.when(F.col("c_custkey") % 17 == 0, "nd").otherwise(F.col("c_nationkey").cast("string")).alias("nation"),
+        F.when(F.col("c_custkey") % 17 == 0, "nd")
+        .when(F.col("c_custkey") % 19 == 0, (F.col("c_nationkey") + 100).cast("string"))  # a code that no field lists
+        .otherwise(F.col("c_nationkey").cast("string"))
+        .alias("nation"),
         F.col("c_mktsegment").alias("segment"),
     )
     return dic.decode(c, _dictionary(spark, folder), ["nation", "segment"])
@@ -644,9 +647,11 @@ WITH o AS (SELECT o_custkey, count(*) AS areas FROM orders GROUP BY 1),
 p AS (SELECT c_custkey AS record_id, c_custkey % 80 + 18 AS age, c_custkey % 4 + 1 AS stage, c_acctbal / 500 AS hb, c_custkey % 3 = 0 AS ldh,
   areas, c_custkey % 12 AS cm, c_custkey % 5 = 0 AS b2m, CASE WHEN c_custkey % 7 <> 0 THEN c_custkey % 2 = 0 END AS marrow
   FROM customer LEFT JOIN o ON o_custkey = c_custkey),
-n AS (SELECT record_id, CAST(age > 60 AS INTEGER) + CAST(stage >= 3 AS INTEGER) + CAST(hb < 12 AS INTEGER) + CAST(ldh AS INTEGER) + CAST(areas > 10 AS INTEGER) AS f1,
+n AS (SELECT *, CAST(age > 60 AS INTEGER) + CAST(stage >= 3 AS INTEGER) + CAST(hb < 12 AS INTEGER) + CAST(ldh AS INTEGER) + CAST(areas > 10 AS INTEGER) AS f1,
   CAST(age > 60 AS INTEGER) + CAST(cm > 6 AS INTEGER) + CAST(hb < 12 AS INTEGER) + CAST(b2m AS INTEGER) + CAST(marrow AS INTEGER) AS f2 FROM p)
-SELECT record_id, f1 AS diag_flipi_n, f2 AS diag_flipi2_n,
+SELECT record_id, f1 AS diag_flipi_n, f2 AS diag_flipi2_n, CAST(age > 60 AS INTEGER) AS diag_flipi_age, CAST(stage >= 3 AS INTEGER) AS diag_flipi_stage,
+  CAST(hb < 12 AS INTEGER) AS diag_flipi_hemo, CAST(ldh AS INTEGER) AS diag_flipi_ldh, CAST(areas > 10 AS INTEGER) AS diag_flipi_site,
+  CAST(cm > 6 AS INTEGER) AS diag_flipi2_node, CAST(b2m AS INTEGER) AS diag_flipi_b2mg, CAST(marrow AS INTEGER) AS diag_flipi2_marrow,
   CASE WHEN f1 <= 1 THEN 'Low' WHEN f1 = 2 THEN 'Intermediate' WHEN f1 >= 3 THEN 'High' END AS diag_flipi_risk_grade,
   CASE WHEN f2 = 0 THEN 'Low' WHEN f2 <= 2 THEN 'Intermediate' WHEN f2 >= 3 THEN 'High' END AS diag_flipi2_risk_grade FROM n
 """)
@@ -665,7 +670,8 @@ def flipi(spark, folder):
         b2m_elevated=k % 5 == 0,
         marrow=F.when(k % 7 != 0, k % 2 == 0),
     )
-    return out.select("record_id", "diag_flipi_n", "diag_flipi2_n", "diag_flipi_risk_grade", "diag_flipi2_risk_grade")
+    points = list(dict.fromkeys([*scores.FLIPI_POINTS, *scores.FLIPI2_POINTS]))
+    return out.select("record_id", *points, "diag_flipi_n", "diag_flipi2_n", "diag_flipi_risk_grade", "diag_flipi2_risk_grade")
 
 
 # --- therapy classes ----------------------------------------------------------------------------
