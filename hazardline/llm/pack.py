@@ -15,8 +15,9 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -32,7 +33,9 @@ STEP_TOKENS = 8192
 #: Remainders that a task holds before it packs them.
 BUFFER = 4096
 #: Different chunks whose identifiers a worker remembers, and their longest size in characters.
-REMEMBERED, REMEMBERED_CHARS = 500_000, 48
+REMEMBERED, REMEMBERED_CHARS = 300_000, 48
+#: Characters of texts that are encoded together.
+GROUP_CHARS = 1_000_000
 
 _SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 _FIELDS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group"]
@@ -41,8 +44,10 @@ _FIELDS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
 class Encoder:
     """Identifiers of whole texts as little-endian unsigned 32-bit bytes, made by the tokenizers library.
 
-    The library encodes each different chunk between blanks; texts where a cut at blanks could change the result go to
-    it whole.
+    Each different chunk between blanks is encoded once and remembered. What a group of texts has of chunks not yet known
+    is one text to the library: a call for each would cost far more than the encoding. Tokens of a byte-level vocabulary
+    never span a blank, so their byte lengths tell where each chunk's tokens end; this is checked, and where it does not
+    hold chunks are encoded one by one. Texts where a cut at blanks could change the result go to the library whole.
     """
 
     def __init__(self, vocabulary_json: str) -> None:
@@ -54,26 +59,73 @@ class Encoder:
         self.library.no_padding()
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.lengths = np.array([len(self.library.id_to_token(i) or "") for i in range(size)], np.int64)  # a letter is a byte
         self.known: dict[str, bytes] = {}
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(parts, add_special_tokens=False)]
 
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if WIDE_GAP.search(text) or self.special is not None and self.special.search(text):
-            return self._encode([text])[0]
-        first, *rest = text.split(" ")
-        known = self.known
-        new = list(set(rest).difference(known))
-        found = dict(zip(new, self._encode([" " + c for c in new]), strict=True)) if new else {}
-        head = self._encode([first])[0] if first else b""
-        if not found:
-            return head + b"".join(map(known.__getitem__, rest))
+    def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        """Identifiers of a blank and the chunk after it, for each."""
+        joined = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
+        out: dict[str, bytes] = {}
+        if joined:
+            text = " " + " ".join(joined)
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            token_ends = np.cumsum(self.lengths[ids])
+            ends = np.cumsum([len(c.encode()) + 1 for c in joined])
+            at = np.searchsorted(token_ends, ends)
+            if at[-1] == len(ids) - 1 and np.array_equal(token_ends[at], ends):
+                data, cuts = ids.astype("<u4").tobytes(), [0, *((at + 1) * 4).tolist()]
+                out = {c: data[a:b] for c, a, b in zip(joined, cuts, cuts[1:], strict=False)}
+        rest = [c for c in chunks if c not in out]
+        if rest:
+            out.update(zip(rest, self._encode([" " + c for c in rest]), strict=True))
+        return out
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Identifiers of each text, in order."""
+        known, out = self.known, [b""] * len(texts)
+        whole, cut_up = [], []
+        for k, text in enumerate(texts):
+            if not text:
+                continue
+            if WIDE_GAP.search(text) or self.special is not None and self.special.search(text):
+                whole.append(k)
+            else:
+                first, *rest = text.split(" ")
+                cut_up.append((k, first, rest))
+        for k, ids in zip(whole, self._encode([texts[k] for k in whole]), strict=True):
+            out[k] = ids
+        heads = list({first for _, first, _ in cut_up if first})
+        head = dict(zip(heads, self._encode(heads), strict=True)) | {"": b""}
+        new = {c for _, _, rest in cut_up for c in set(rest).difference(known)}
+        found = self._encode_chunks(list(new)) if new else {}
         if len(known) < REMEMBERED:
             known.update((c, b) for c, b in found.items() if len(c) <= REMEMBERED_CHARS)
-        return head + b"".join([found[c] if c in found else known[c] for c in rest])
+        for k, first, rest in cut_up:
+            try:
+                out[k] = head[first] + b"".join(map(known.__getitem__, rest))
+            except KeyError:
+                out[k] = head[first] + b"".join([found[c] if c in found else known[c] for c in rest])
+        return out
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+
+def groups_of(texts: Iterable[str | None], most: int) -> Iterator[list[str]]:
+    """Consecutive texts in lists of about ``most`` characters; a longer text is a list of its own."""
+    held, size = [], 0
+    for text in texts:
+        if held and size + len(text or "") > most:
+            yield held
+            held, size = [], 0
+        held.append(text or "")
+        size += len(text or "")
+    if held:
+        yield held
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -193,14 +245,14 @@ def pack(docs: DataFrame, vocabulary: str, tiers: tuple[int, ...] = TIERS, end_i
 
         for batch in batches:
             kind = batch.column("doc_id").type
-            ids = batch.column("doc_id").to_pylist()
-            column = batch.column("text")
-            for k, document in enumerate(ids):
-                packer.add(document, encoder.encode(column[k].as_py() or "") + end)
-                if len(packer.held) >= BUFFER:
-                    packer.flush()
-                if len(packer.rows) >= 20_000:
-                    yield made()
+            documents = iter(batch.column("doc_id").to_pylist())
+            for texts in groups_of((t.as_py() for t in batch.column("text")), GROUP_CHARS):
+                for ids in encoder.encode_all(texts):
+                    packer.add(next(documents), ids + end)
+                    if len(packer.held) >= BUFFER:
+                        packer.flush()
+                    if len(packer.rows) >= 20_000:
+                        yield made()
         packer.flush(last=True)
         if packer.rows:
             yield made()
