@@ -7,12 +7,12 @@ how often they are right, and a threshold marks those that are not sure enough.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,15 +27,15 @@ EPOCHS, RATE = 3, 0.5
 #: Bytes of a text that are hashed at once.
 CHUNK = 1 << 20
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _SPACED = np.array([b if 0x61 <= b <= 0x7A or b >= 0x80 else 32 for b in range(256)], np.uint8)
 
 
 def buckets(text: str) -> Iterator[np.ndarray]:
-    """Bucket numbers of the n-grams inside words, each word with a blank before and after it, a chunk at a time."""
+    """Bucket numbers of the n-grams inside words, each word with a blank before and after it, a chunk of starts at a time."""
     data = np.frombuffer(b" " + text.lower().encode() + b" ", np.uint8)
     for at in range(0, len(data), CHUNK):
-        a = _SPACED[data[at : at + CHUNK]].astype(np.uint32)
+        a = _SPACED[data[at : at + CHUNK + max(GRAMS) - 1]].astype(np.uint32)
         blank = a == 32
         gram, inside = a, ~blank
         for n in range(2, max(GRAMS) + 1):
@@ -48,7 +48,7 @@ def buckets(text: str) -> Iterator[np.ndarray]:
                 middle = inside[1:-1] if n == 3 else middle[:-1] & inside[n - 2 : -1]
                 used = middle
             if n in GRAMS:
-                yield (gram[used] * np.uint32(2654435761 + 2 * n)) >> np.uint32(32 - BUCKETS_LOG2)
+                yield (gram[:CHUNK][used[:CHUNK]] * np.uint32(2654435761 + 2 * n)) >> np.uint32(32 - BUCKETS_LOG2)
 
 
 @dataclass

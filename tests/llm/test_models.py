@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from hazardline.llm import langid, mil
@@ -24,18 +25,26 @@ def corpus(n=240):
 
 def test_languages_held_out(spark):
     rows = corpus()
-    odd = [(900, None, "de", None), (901, "", "fr", None), (902, "12 !! 3", "en", None), (None, rows[0][1], "en", None), (1, rows[1][1], None, None), (903, "x" * 3_000_000, None, None)]
+    odd = [(900, None, "de", None), (901, "", "fr", None), (902, "12 !! 3", "en", None), (None, rows[0][1], "en", None), (1, rows[1][1], None, None), (903, "x" * 3_000_000, None, None), (904, "12 ½", "de", None), (905, "² Ⅷ ①", "fr", None)]
     out = langid.identify_held_out(spark.createDataFrame([*rows, *odd], DOC)).collect()
     assert len(out) == len(rows) + len(odd)
     by_id = {r["doc_id"]: r for r in out}
-    for i in (900, 901, 902):
+    for i in (900, 901, 902, 904, 905):
         assert (by_id[i]["lang_pred"], by_id[i]["score"], by_id[i]["accepted"]) == ("und", 0.0, False)
     held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 == 2]
-    assert {r[0] for r in held} == {r["doc_id"] for r in out if r["held_out"]} - {900, 901, 902, 903}
+    assert {r[0] for r in held} == {r["doc_id"] for r in out if r["held_out"]} - {900, 901, 902, 903, 904, 905}
     assert sum(by_id[r[0]]["lang_pred"] == r[3] for r in held) >= 0.95 * len(held)
     assert all(0 <= r["score"] <= 1 for r in out)
 
 
+def test_chunk_edges_lose_no_gram(monkeypatch):
+    text = text_of(random.Random(2), "fr", 60)
+    whole = sorted(np.concatenate(list(langid.buckets(text))).tolist())
+    for size in (1, 2, 3, 5, 64):
+        monkeypatch.setattr(langid, "CHUNK", size)
+        assert sorted(np.concatenate(list(langid.buckets(text))).tolist()) == whole
+
+
 def test_languages_without_labels_or_rows(spark):
     docs = spark.createDataFrame([(k, "some text", None, None) for k in range(9)], DOC)
     assert {r["lang_pred"] for r in langid.identify_held_out(docs).collect()} == {"und"}
