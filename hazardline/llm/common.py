@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,18 +17,37 @@ WORD_BYTES = bytes(
 )
 #: Lower-cases A-Z and leaves every other byte.
 LOWER_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+#: Bytes of a batch of rows on its way to a Python worker. The JVM holds a batch while it is filled, and the worker holds
+#: it with what it makes of it, both beside the heap.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While an action runs, rows go to Python workers in batches of ``BATCH_BYTES``; the session's setting is then put back."""
+    before = spark.conf.get(_BATCH_SETTING, None)
+    spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_SETTING)
+        else:
+            spark.conf.set(_BATCH_SETTING, before)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, written once to the shared folder and read back, so that later steps neither repeat its
     work nor depend on executors that may be lost."""
     spark = df.sparkSession
     where = shared_folder(spark, name)
-    df.write.parquet(where)
+    with small_batches(spark):
+        df.write.parquet(where)
     return spark.read.schema(df.schema).parquet(where)
 
 
