@@ -33,7 +33,9 @@ STEP_TOKENS = 8192
 #: Remainders that a task holds before it packs them.
 BUFFER = 4096
 #: Different chunks whose identifiers a worker remembers, and their longest size in characters.
-REMEMBERED, REMEMBERED_CHARS = 300_000, 48
+REMEMBERED, REMEMBERED_CHARS = 500_000, 48
+#: Slots that mark chunks as seen once; a chunk is remembered when it comes again, so that rare ones take no room.
+_SEEN_MASK = (1 << 24) - 1
 #: Characters of texts that are encoded together.
 GROUP_CHARS = 1_000_000
 
@@ -62,13 +64,14 @@ class Encoder:
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.lengths = np.array([len(self.library.id_to_token(i) or "") for i in range(size)], np.int64)  # a letter is a byte
         self.known: dict[str, bytes] = {}
+        self.seen = bytearray(_SEEN_MASK + 1)
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(parts, add_special_tokens=False)]
 
     def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
         """Identifiers of a blank and the chunk after it, for each."""
-        joined = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
+        joined = [c for c in chunks if c and c.strip() == c]
         out: dict[str, bytes] = {}
         if joined:
             text = " " + " ".join(joined)
@@ -100,17 +103,27 @@ class Encoder:
             out[k] = ids
         heads = list({first for _, first, _ in cut_up if first})
         head = dict(zip(heads, self._encode(heads), strict=True)) | {"": b""}
-        new = {c for _, _, rest in cut_up for c in set(rest).difference(known)}
-        found = self._encode_chunks(list(new)) if new else {}
-        if len(known) < REMEMBERED:
-            known.update((c, b) for c, b in found.items() if len(c) <= REMEMBERED_CHARS)
+        found = self._encode_chunks(list(set().union(*[rest for _, _, rest in cut_up]).difference(known)))
+        known.update(found)
         for k, first, rest in cut_up:
-            try:
-                out[k] = head[first] + b"".join(map(known.__getitem__, rest))
-            except KeyError:
-                out[k] = head[first] + b"".join([found[c] if c in found else known[c] for c in rest])
+            out[k] = head[first] + b"".join(map(known.__getitem__, rest))
+        self._forget(found)
         return out
 
+    def _forget(self, found: dict[str, bytes]) -> None:
+        """Of the chunks that were new, those stay that a group before had too, as long as there is room."""
+        known, seen = self.known, self.seen
+        room = REMEMBERED - (len(known) - len(found))
+        for c in found:
+            at = hash(c) & _SEEN_MASK
+            if not seen[at]:
+                seen[at] = 1
+                del known[c]
+            elif room <= 0 or len(c) > REMEMBERED_CHARS:
+                del known[c]
+            else:
+                room -= 1
+
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
