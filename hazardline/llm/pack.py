@@ -11,19 +11,22 @@ are cut into power-of-two lengths, which need no padding.
 from __future__ import annotations
 
 import bisect
+import functools
+import json
 import os
 import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardline.llm.bpe import WIDE_GAP
+from hazardline.llm.bpe import PRETOKEN, byte_letters
 from hazardline.llm.common import map_arrow
 
 #: Context sizes; powers of two, so that none of their windows is padded.
@@ -32,22 +35,25 @@ TIERS = (1024, 512, 256, 128)
 STEP_TOKENS = 8192
 #: Remainders that a task holds before it packs them.
 BUFFER = 4096
-#: Different chunks whose identifiers a worker remembers, and their longest size in characters.
-REMEMBERED, REMEMBERED_CHARS = 300_000, 48
 #: Characters of texts that are encoded together.
 GROUP_CHARS = 1_000_000
+#: Characters of a run that may be one pre-token from which a text goes to the tokenizers library.
+LONG_RUN = 256
+_LONG_TOKEN = re.compile(rf"\w{{{LONG_RUN}}}|(?:[^\w\s]|_){{{LONG_RUN}}}|\s{{{LONG_RUN}}}")
+#: Blocks beyond the first plane that hold signs only, no letters, numbers or blanks. Fixed values.
+SIGN_BLOCKS = ((0x1F300, 0x1F6FF), (0x1F900, 0x1FAFF))
 
 _SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 _FIELDS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_group"]
 
 
 class Encoder:
-    """Identifiers of whole texts as little-endian unsigned 32-bit bytes, made by the tokenizers library.
+    """Identifiers of whole texts as little-endian unsigned 32-bit bytes, as the tokenizers library gives them.
 
-    Each different chunk between blanks is encoded once and remembered. What a group of texts has of chunks not yet known
-    is one text to the library: a call for each would cost far more than the encoding. Tokens of a byte-level vocabulary
-    never span a blank, so their byte lengths tell where each chunk's tokens end; this is checked, and where it does not
-    hold chunks are encoded one by one. Texts where a cut at blanks could change the result go to the library whole.
+    A byte-level vocabulary whose identifiers follow its merges means the same to tiktoken, which reads pairs from ranks
+    and is several times as fast: a token is merged from one pair only, and what its letters become on their own they
+    also become inside a word. Both facts are checked on the file; another vocabulary goes to the library alone. So do
+    texts with special strings, with characters that versions of Unicode may class differently, or with very long runs.
     """
 
     def __init__(self, vocabulary_json: str) -> None:
@@ -59,62 +65,75 @@ class Encoder:
         self.library.no_padding()
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        size = self.library.get_vocab_size(with_added_tokens=True)
-        self.lengths = np.array([len(self.library.id_to_token(i) or "") for i in range(size)], np.int64)  # a letter is a byte
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(parts, add_special_tokens=False)]
-
-    def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
-        """Identifiers of a blank and the chunk after it, for each."""
-        joined = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
-        out: dict[str, bytes] = {}
-        if joined:
-            text = " " + " ".join(joined)
-            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            token_ends = np.cumsum(self.lengths[ids])
-            ends = np.cumsum([len(c.encode()) + 1 for c in joined])
-            at = np.searchsorted(token_ends, ends)
-            if at[-1] == len(ids) - 1 and np.array_equal(token_ends[at], ends):
-                data, cuts = ids.astype("<u4").tobytes(), [0, *((at + 1) * 4).tolist()]
-                out = {c: data[a:b] for c, a, b in zip(joined, cuts, cuts[1:], strict=False)}
-        rest = [c for c in chunks if c not in out]
-        if rest:
-            out.update(zip(rest, self._encode([" " + c for c in rest]), strict=True))
-        return out
+        ranks = merge_ranks(json.loads(vocabulary_json))
+        self.ranked = tiktoken.Encoding("ranked", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={}) if ranks else None
+
+    def _ranked_too(self, text: str) -> bool:
+        if self.ranked is None or self.special is not None and self.special.search(text):
+            return False
+        if not text.isascii() and unsettled().search(text):
+            return False
+        if len(text) < LONG_RUN:
+            return True
+        sizes = list(map(len, text.split()))
+        blanks = len(text) - sum(sizes) - len(sizes)  # those beyond one a word
+        return max(sizes, default=0) < LONG_RUN and blanks < LONG_RUN or not _LONG_TOKEN.search(text)
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Identifiers of each text, in order."""
-        known, out = self.known, [b""] * len(texts)
-        whole, cut_up = [], []
+        out, others = [b""] * len(texts), []
         for k, text in enumerate(texts):
-            if not text:
-                continue
-            if WIDE_GAP.search(text) or self.special is not None and self.special.search(text):
-                whole.append(k)
-            else:
-                first, *rest = text.split(" ")
-                cut_up.append((k, first, rest))
-        for k, ids in zip(whole, self._encode([texts[k] for k in whole]), strict=True):
-            out[k] = ids
-        heads = list({first for _, first, _ in cut_up if first})
-        head = dict(zip(heads, self._encode(heads), strict=True)) | {"": b""}
-        new = {c for _, _, rest in cut_up for c in set(rest).difference(known)}
-        found = self._encode_chunks(list(new)) if new else {}
-        if len(known) < REMEMBERED:
-            known.update((c, b) for c, b in found.items() if len(c) <= REMEMBERED_CHARS)
-        for k, first, rest in cut_up:
-            try:
-                out[k] = head[first] + b"".join(map(known.__getitem__, rest))
-            except KeyError:
-                out[k] = head[first] + b"".join([found[c] if c in found else known[c] for c in rest])
+            if not self._ranked_too(text):
+                others.append(k)
+            elif text:
+                out[k] = array("I", self.ranked.encode_ordinary(text)).tobytes()
+        made = self.library.encode_batch_fast([texts[k] for k in others], add_special_tokens=False)
+        for k, encoded in zip(others, made, strict=True):
+            out[k] = array("I", encoded.ids).tobytes()
         return out
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
 
+def merge_ranks(file: dict) -> dict[bytes, int] | None:
+    """Bytes to identifier, if the vocabulary is plainly byte-level and its merges make the tokens in order of their
+    identifiers, each from letters that merge to it on their own; else None."""
+    model, letters = file["model"], byte_letters()
+    pre = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    plain = model["type"] == "BPE" and not file.get("normalizer") and not any(model.get(o) for o in options)
+    if not plain or {k: v for k, v in (file.get("pre_tokenizer") or {}).items() if k in pre} != pre:
+        return None
+    vocab = model["vocab"]
+    made = {t: vocab.get(t) for t in letters}
+    for pair in model["merges"]:
+        left, right = pair.split(" ") if isinstance(pair, str) else pair
+        if left not in made or right not in made or left + right in made:
+            return None
+        made[left + right] = vocab.get(left + right)
+    merged = list(made.values())[len(letters) :]
+    special = {t["content"] for t in file.get("added_tokens", [])}
+    if None in made.values() or merged != sorted(merged) or max(vocab[t] for t in letters) > min(merged, default=len(vocab)):
+        return None
+    if set(vocab) - set(made) - special:
+        return None
+    return {bytes(letters[c] for c in t): k for t, k in made.items()}
+
+
+@functools.cache
+def unsettled() -> re.Pattern[str]:
+    """Characters whose class may depend on the version of Unicode: not yet given in 3.2, save blocks of signs alone."""
+    given = [c for c in range(0x10000) if unicodedata.ucd_3_2_0.category(chr(c)) not in ("Cn", "Cs")]
+    spans: list[list[int]] = []
+    for c in given:
+        if spans and spans[-1][1] == c - 1:
+            spans[-1][1] = c
+        else:
+            spans.append([c, c])
+    return re.compile("[^" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in [*spans, *SIGN_BLOCKS]) + "]")
+
+
 def groups_of(texts: Iterable[str | None], most: int) -> Iterator[list[str]]:
     """Consecutive texts in lists of about ``most`` characters; a longer text is a list of its own."""
     held, size = [], 0

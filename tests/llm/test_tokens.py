@@ -38,6 +38,35 @@ def test_remembering_is_bounded(spark, monkeypatch):
     assert len(counter.chunks) <= 3 and len(counter.chunks.words) <= 3
 
 
+def encoder():
+    with open(FILE, encoding="utf-8") as f:
+        return pack.Encoder(f.read())
+
+
+def test_identifiers_of_every_settled_character_equal_the_library():
+    own, library = encoder(), Tokenizer.from_file(FILE)
+    points = [*range(0xD800), *range(0xE000, 0x10000), *(c for a, b in pack.SIGN_BLOCKS for c in range(a, b + 1))]
+    texts = [f"a{c}1{c}{c} {c}" for c in map(chr, points) if not pack.unsettled().search(c)]
+    assert len(texts) > 50_000 and all(map(own._ranked_too, texts))
+    want = library.encode_batch_fast(texts, add_special_tokens=False)
+    assert [np.frombuffer(i, "<u4").tolist() for i in own.encode_all(texts)] == [w.ids for w in want]
+
+
+def test_identifiers_of_odd_and_long_texts_equal_the_library():
+    own, library = encoder(), Tokenizer.from_file(FILE)
+    runs = ["a" * 3000, "x " + "1" * 500, "_-" * 400, " " * 700 + "b", "w\n" * 600, "a  b" * 300, "\U00010400 \U0001e900", "z" * 255]
+    texts = [*(t or "" for _, t, _ in odd_rows()), *runs]
+    assert [np.frombuffer(i, "<u4").tolist() for i in own.encode_all(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [own._ranked_too(t) for t in runs] == [False, False, False, False, True, True, False, True]
+
+
+def test_other_vocabularies_are_left_to_the_library():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        words = pack.Encoder(f.read())
+    assert words.ranked is None
+    assert np.frombuffer(words.encode("Two words"), "<u4").tolist() == words.library.encode("Two words", add_special_tokens=False).ids
+
+
 def test_pieces_round_trip(spark):
     library = Tokenizer.from_file(FILE)
     rows = [(k, t, "x") for k, (_, t, _) in enumerate(odd_rows())] + [(5000, "long text " * 9000, None), (5001, "z " * 700, None)]
