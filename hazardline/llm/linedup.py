@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 #: Lines of a window.
 WIDTH = 3
-#: Rows of the table of removals that may be broadcast; a larger one is joined by a shuffle.
-BROADCAST_ROWS = 500_000
 
 
 def _lines(text: Column) -> Column:
@@ -24,8 +22,8 @@ def _trimmed(line: Column) -> Column:
 
 
 def covered_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, t1 (the text's hash), covered: positions from 0 of the lines that later occurrences cover, for rows that
-    have any. The first occurrence is the one of the smallest doc_id (null first), text hash and position."""
+    """doc_id, t1 (the text's hash), starts: sorted positions from 0 where later occurrences start, for rows that have
+    any. The first occurrence is the one of the smallest doc_id (null first), text hash and position."""
     lines = F.transform(_lines(F.col("text").cast("string")), _trimmed)
     source = docs.select("doc_id", F.xxhash64(F.col("text").cast("string")).alias("t1"), lines.alias("lines")).where(F.size("lines") >= width)
     window = lambda i: F.array_join(F.slice(F.col("lines"), i + 1, width), "\n")
@@ -41,19 +39,29 @@ def covered_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     place = F.struct("doc_id", "t1", "pos")
     first = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("times")).where("times > 1").drop("times")
     later = windows.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
-    starts = later.groupBy("doc_id", "t1").agg(F.collect_set("pos").alias("starts"))
-    covered = F.array_distinct(F.flatten(F.transform("starts", lambda p: F.sequence(p, p + (width - 1)))))
-    return starts.select("doc_id", "t1", covered.alias("covered"))
+    return later.groupBy("doc_id", "t1").agg(F.sort_array(F.collect_set("pos")).alias("starts"))
+
+
+def _kept(lines: Column, starts: Column, width: int) -> Column:
+    """The lines outside the windows at ``starts``: slices between one window's end and the next one's start, so the cost
+    is that of the lines, however many are covered."""
+    ends = F.concat(F.array(F.lit(0)), F.transform(starts, lambda p: p + width))
+    gaps = F.arrays_zip(ends.alias("low"), F.concat(starts, F.array(F.size(lines))).alias("high"))
+    open_gaps = F.filter(gaps, lambda g: g["high"] > g["low"])
+    return F.flatten(F.transform(open_gaps, lambda g: F.slice(lines, g["low"] + 1, g["high"] - g["low"])))
 
 
 def _joined(docs: DataFrame, width: int) -> tuple[DataFrame, Column, Column]:
-    """``docs`` with the covered positions joined on, the text without those lines, and how many there are."""
-    gone = covered_lines(docs, width).select(F.col("doc_id").alias("id_"), F.col("t1").alias("t1_"), F.col("covered").alias("covered_"))
+    """``docs`` with the starts of covered windows joined on, the text without their lines, and how many lines go."""
+    gone = covered_lines(docs, width).select(F.col("doc_id").alias("id_"), F.col("t1").alias("t1_"), F.col("starts").alias("starts_"))
     same = docs["doc_id"].eqNullSafe(gone["id_"]) & (F.xxhash64(docs["text"].cast("string")) == gone["t1_"])
-    covered = gone["covered_"]  # bound to its table: ``docs`` may have a column of this name
-    kept = F.array_join(F.filter(_lines(docs["text"].cast("string")), lambda _, i: ~F.array_contains(covered, i)), "\n")
-    text = F.when(covered.isNotNull(), kept).otherwise(docs["text"])
-    return docs.join(gone, same, "left"), text, F.when(covered.isNull(), 0).otherwise(F.size(covered)).cast("long")
+    starts = gone["starts_"]  # bound to its table: ``docs`` may have a column of this name
+    # the lines are made once, as the element of an array
+    kept = F.transform(F.array(_lines(docs["text"].cast("string"))), lambda lines: F.array_join(_kept(lines, starts, width), "\n"))[0]
+    text = F.when(starts.isNotNull(), kept).otherwise(docs["text"])
+    later = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.lit(2**31 - 1)))
+    removed = F.aggregate(F.zip_with(starts, later, lambda a, b: F.least(b - a, F.lit(width))), F.lit(0), lambda n, x: n + x)
+    return docs.join(gone, same, "left"), text, F.coalesce(removed, F.lit(0)).cast("long")
 
 
 def dedup_report(docs: DataFrame, width: int = WIDTH) -> DataFrame:

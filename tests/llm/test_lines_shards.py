@@ -34,6 +34,15 @@ def test_lines_planted_repeated_and_null_ids(spark):
     assert sorted(got, key=str) == sorted([(1, "x\ny", 3), (2, "p\nq", 3), (2, "p\nq", 3), (None, block, None), (3, "first line\nsecond line", 7)], key=str)
 
 
+def test_lines_of_a_very_long_text(spark):
+    n = 400_000
+    block = "one\ntwo\nthree"
+    rows = [(1, block + "\n" + "q\n" * n + block + "\nend", "en", None, None)]
+    (row,) = linedup.dedup_report(spark.createDataFrame(rows, DOC)).collect()
+    # the first window of equal lines stays, later ones cover all but its first line; so do those of the second block
+    assert row["text"] == block + "\nq\nend" and (row["n_lines"], row["n_removed"]) == (n + 7, n + 2)
+
+
 @pytest.mark.parametrize("limit", [1, 50, 400, 10**9])
 def test_shards_against_sql(spark, against_sql, limit):
     docs = spark.createDataFrame(random_docs(2), DOC)
