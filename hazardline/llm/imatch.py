@@ -26,8 +26,9 @@ DIGITS = "0123456789abcdef"
 IN_USE = 4
 #: Slots of the lookup table of lexicon terms.
 SLOTS = 16_384
-#: Rows of a bucket of neighbouring ids, and rows that may be broadcast to fill the gaps between buckets.
-BUCKET_ROWS, BROADCAST_ROWS = 8_192, 200_000
+#: Rows that a range of neighbouring ids has on average, and cut points between ranges at most (on average): a larger
+#: table gets larger ranges, so that what every task is sent stays at a few megabytes.
+BUCKET_ROWS, CUT_POINTS = 8_192, 50_000
 
 
 def terms(text: Column) -> Column:
@@ -94,28 +95,42 @@ def likeness(one: Column, other: Column) -> Column:
     return F.when(one == other, 1.0).when(none, 0.0).otherwise(F.array_max(grains)["share"])
 
 
+def in_ranges(docs: DataFrame) -> DataFrame:
+    """doc_id, text, t1 (the text's hash), bucket, copy: rows cut into ranges of descending doc_id (nulls last, ties by t1).
+
+    Ids may be numbers, texts or dates. Ranges are cut at rows drawn by hash, so they follow the rows however ids
+    are spread, and rows that repeat an id are cut too (unless their texts are equal). A drawn row is the first of its
+    range; a copy of it (copy = 1) stands in the range before. A copy of the first row of all stands in the last range.
+    """
+    rows = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    apart = max(BUCKET_ROWS, -(-rows.count() // CUT_POINTS))
+    placed = rows.withColumn("t1", F.xxhash64("text")).withColumn("key", F.struct("doc_id", "t1"))
+    drawn = F.when(F.pmod(F.xxhash64(F.lit(53), "doc_id", "t1"), F.lit(apart)) == 0, F.col("key"))
+    found = placed.agg(F.sort_array(F.collect_set(drawn)).alias("cuts"), F.max("key").alias("top"))
+    found = found.withColumn("block", F.greatest(F.lit(1), F.ceil(F.sqrt(F.size("cuts"))).cast("int")))
+    ends = F.filter("cuts", lambda _, i: (i + 1) % F.col("block") == 0)  # every block-th
+    found = found.select(F.struct("cuts", "top", "block", ends.alias("ends")).alias("at"))
+    # a constant, and not a column, which would be copied with every row
+    at = F.from_json(F.lit(found.select(F.to_json("at")).first()[0]), found.schema["at"].dataType)
+    # the cut points below a row are counted by two short searches
+    placed = placed.withColumn("blocks", F.size(F.filter(at["ends"], lambda c: c < F.col("key"))) * at["block"])
+    within = F.size(F.filter(F.slice(at["cuts"], F.col("blocks") + 1, at["block"]), lambda c: c < F.col("key")))
+    placed = placed.withColumn("own", F.col("blocks") + within)
+    place = lambda bucket, copy: F.struct(bucket.alias("bucket"), F.lit(copy).alias("copy"))
+    first = F.get(at["cuts"], F.col("own")) == F.col("key")
+    places = F.array(
+        place(F.col("own"), 0), F.when(first, place(F.col("own") + 1, 1)), F.when(F.col("key") == at["top"], place(F.lit(0), 1))
+    )
+    return placed.select("doc_id", "text", "t1", F.inline(F.array_compact(places)))
+
+
 def with_next(docs: DataFrame, **more: Column) -> DataFrame:
     """doc_id, text and next_text, the text of the following row in descending order of doc_id (nulls last, ties by the
     text's hash); after the last comes the first. ``more`` are expressions of the text, given with and as next_*.
 
-    Ids are cut into ranges, and each range gets a copy of the first row of the next range below, so that a neighbour is
-    found inside one. Only one small row per range is ordered as a whole.
+    A neighbour is found inside a range (see :func:`in_ranges`), so texts are shuffled once and nothing is joined.
     """
-    rows = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    few = rows.agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
-    low = few["low"] or 0
-    width = max(1, -(-((few["high"] or 0) - low + 1) * BUCKET_ROWS // max(1, few["n"])))
-    bucket = F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)).cast("long"), F.lit(-1))
-    placed = rows.withColumn("t1", F.xxhash64("text")).withColumn("bucket", bucket)
-    order = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("o"), "t1")
-    heads = placed.groupBy("bucket").agg(F.max(order).alias("head"))
-    below = Window.orderBy(F.desc("bucket"))  # one small row per range of ids
-    first = F.first("head").over(below.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    wanted = heads.select(F.col("bucket").alias("to"), F.coalesce(F.lead("head").over(below), first).alias("head"))
-    wanted = F.broadcast(wanted) if few["n"] // BUCKET_ROWS <= BROADCAST_ROWS else wanted
-    copies = placed.withColumn("head", order).join(wanted, "head").select("doc_id", "text", "t1", F.col("to").alias("bucket"), F.lit(1).alias("copy"))
-    copies = copies.dropDuplicates(["bucket"])
-    both = placed.withColumn("copy", F.lit(0)).unionByName(copies).withColumns(more)
+    both = in_ranges(docs).withColumns(more)
     inside = Window.partitionBy("bucket").orderBy("copy", F.desc_nulls_last("doc_id"), F.desc("t1"))
     follow = [F.lead(c).over(inside).alias(f"next_{c}") for c in ("text", *more)]
     return both.select("doc_id", "text", "copy", *more, *follow).where("copy = 0").drop("copy")

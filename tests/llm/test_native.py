@@ -40,6 +40,28 @@ def test_next_rows_with_repeated_and_null_ids(spark, monkeypatch):
     assert sorted(after["a"] + after["b"]) in (["a", "b", "low"], ["b", "b", "low"])
 
 
+def follows(spark, rows, kind):
+    """Brute force: texts in descending order of id (nulls last) and text hash, each with the one after it."""
+    docs = spark.createDataFrame(rows, f"doc_id {kind}, text string")
+    hashed = [tuple(r) for r in docs.select("doc_id", "text", F.xxhash64("text")).collect()]
+    null = sorted((r for r in hashed if r[0] is None), key=lambda r: r[2], reverse=True)
+    ordered = sorted((r for r in hashed if r[0] is not None), key=lambda r: (r[0], r[2]), reverse=True) + null
+    want = [(r[0], r[1], n[1]) for r, n in zip(ordered, [*ordered[1:], ordered[0]], strict=True)]
+    assert sorted(map(repr, map(tuple, imatch.with_next(docs).collect()))) == sorted(map(repr, want))
+    return docs
+
+
+def test_next_rows_of_uneven_and_text_ids(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "BUCKET_ROWS", 40)
+    far = [(k, f"t{k}") for k in range(1500)] + [(10**18, "far"), (2**63 - 1, "top"), (-(2**63), "bottom")]
+    repeated = [(7, f"same id {k}") for k in range(1500)] + [(7, "same row")] * 30 + [(None, f"none {k}") for k in range(300)] + [(8, "eight")]
+    for rows in (far, repeated):
+        sizes = imatch.in_ranges(follows(spark, rows, "long")).groupBy("bucket").count()
+        most = sizes.agg(F.max("count"), F.count("*")).first()
+        assert most[0] <= 40 * 12 and most[1] > 15
+    follows(spark, [(f"id-{k % 400}", f"t{k}") for k in range(900)] + [(None, "none")], "string")
+
+
 def test_likeness_and_edits_of_odd_texts(spark):
     lone = imatch.compare_edited(spark.createDataFrame([(1, "ab\U0001f600d", "x", "y")], DOC)).first()
     assert lone["n_chars"] == 4 and lone["edited_sha256"] == hashlib.sha256("abab".encode()).hexdigest()
