@@ -10,7 +10,10 @@ from hazardline.llm.common import cut, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject. Null and empty texts are scored like others."""
+    """Documents that the quality classifier does not reject. Null and empty texts are scored like others, long ones whole.
+
+    Rows with one text share one fate; without labels all stay; an empty table stays empty.
+    """
     return mil.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -20,17 +23,26 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five words, similarity 0.8. Texts without words are in no group."""
+    """One document of each group of near copies: five words, similarity 0.8. Texts without words are in no group.
+
+    The smallest doc_id stays, a null one last, ties by the text's hash; of rows that repeat id and text one stays.
+    """
     return neardup.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the benchmark's words; a document that is mostly benchmark goes."""
+    """Documents without the benchmark's words; a document that is mostly benchmark goes.
+
+    Null and empty texts pass unchanged; each row is decided by its own text, repeated rows alike.
+    """
     return decontam.remove_matches(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in windows of at most 1024 tokens."""
+    """The pieces of all documents in windows of at most 1024 tokens.
+
+    A null or empty text is its end mark alone; repeated rows are documents of their own; long texts are cut into windows.
+    """
     return pack.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
