@@ -187,7 +187,8 @@ def score_held_out(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns; the model learns from ``labels`` outside fold 0
-    of 5. Texts are scored beside the other columns, so nothing is joined; null and empty texts are scored too."""
+    of 5. Texts are scored beside the other columns, so nothing is joined; null and empty texts are scored too. Each row is
+    decided by its own text, repeated rows alike. Without labels all rows stay; an empty table stays empty."""
     model = train(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
     tucked = docs.select(F.struct(*(docs[c].alias(c) for c in docs.columns)).alias("doc_id"), docs["text"])
     rated = score(tucked, model)
