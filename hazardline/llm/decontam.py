@@ -2,23 +2,29 @@
 
 The automaton holds every run of words of every item. Documents are streamed through it word by word; it keeps the
 length of the longest run ending at the current word, so each occurrence of a window is seen as its last word is read.
-No document is shuffled.
+No document is shuffled. Automata are built by tasks, kept in the shared folder, and read by the workers that match.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardline.llm.common import WORD_BYTES, map_arrow, texts
+from hazardline.llm.common import WORD_BYTES, cut, map_arrow, texts
+from hazardline.session import shared_folder
 
 #: Words of test items in one automaton. More items make more automata, each of which all documents pass in turn.
 BLOCK_WORDS = 200_000
+#: Bytes of documents that pass one automaton before the next is read, where there are several.
+GROUP_BYTES = 32 << 20
 _WORD = re.compile(rb"[^ ]+")
 
 
@@ -136,23 +142,62 @@ class Automaton:
         return spans, seen
 
 
-def item_blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """Items in lists of about ``block_words`` words. A longer item goes in pieces that share ``window`` - 1 words, so
-    that each of its windows is in one piece; the driver holds one list at a time."""
-    block: list[tuple[str, list[bytes]]] = []
-    held = 0
-    for row in benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text")).toLocalIterator():
-        found = words(row["text"].encode() if row["text"] is not None else None)
-        step = max(block_words, window)
-        for start in range(0, max(1, len(found) - window + 1), step) if found else ():
-            piece = found[start : start + step + window - 1]
-            if block and held + len(piece) > block_words:
-                yield block
-                block, held = [], 0
-            block.append((row["item"] or "", piece))
-            held += len(piece)
-    if block:
-        yield block
+def _pieces(batches: Iterator[pa.RecordBatch], window: int, block_words: int) -> Iterator[pa.RecordBatch]:
+    step = max(block_words, window)
+    for batch in batches:
+        items, numbers, parts, counts = [], [], [], []
+        for item, text in zip(batch.column("item").to_pylist(), texts(batch), strict=True):
+            found = words(text)
+            for start in range(0, max(1, len(found) - window + 1), step) if found else ():
+                piece = found[start : start + step + window - 1]
+                items.append(item)
+                numbers.append(start // step)
+                parts.append(b" ".join(piece))
+                counts.append(len(piece))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(items, pa.string()), pa.array(numbers, pa.int64()), pa.array(parts, pa.binary()), pa.array(counts, pa.int64())],
+            ["item", "number", "piece", "n_words"],
+        )
+
+
+def write_automata(benchmark: DataFrame, window: int, block_words: int) -> list[str]:
+    """Files of automata in the shared folder, each of about ``block_words`` words of items, built by Spark's tasks.
+
+    A longer item goes in pieces that share ``window`` - 1 words, so that each of its windows is in one piece. Pieces are
+    dealt to blocks by hash; a repeated attempt writes its block's file anew under its own name. The driver sees names.
+    """
+    folder = shared_folder(benchmark.sparkSession, "automata")
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text"))
+    pieces = cut(map_arrow(items, lambda batches: _pieces(batches, window, block_words), "item string, number long, piece binary, n_words long"), "pieces")
+    total = pieces.agg(F.sum("n_words")).first()[0]
+    if not total:
+        return []
+    block = F.pmod(F.xxhash64("item", "number"), F.lit(-(-total // block_words))).alias("block")
+
+    def build(group: pa.Table) -> pa.Table:
+        rows = zip(group.column("item").to_pylist(), group.column("piece").to_pylist(), strict=True)
+        automaton = Automaton([(item, piece.split()) for item, piece in sorted(set(rows))], window)
+        path = f"{folder}/{group.column('block')[0].as_py()}-{uuid.uuid4().hex}"
+        fs, name = FileSystem.from_uri(path)
+        fs.create_dir(name.rsplit("/", 1)[0], recursive=True)
+        with fs.open_output_stream(name, compression=None) as out:
+            out.write(pickle.dumps(automaton, pickle.HIGHEST_PROTOCOL))
+        return pa.table({"path": [path]})
+
+    return sorted(r["path"] for r in pieces.select("item", "piece", block).groupBy("block").applyInArrow(build, "path string").collect())
+
+
+#: The automaton that this worker read last.
+_LOADED: dict[str, Automaton] = {}
+
+
+def _load(path: str) -> Automaton:
+    if path not in _LOADED:
+        _LOADED.clear()
+        fs, name = FileSystem.from_uri(path)
+        with fs.open_input_stream(name, compression=None) as source:
+            _LOADED[path] = pickle.loads(source.read())
+    return _LOADED[path]
 
 
 def _merge(spans: list[list[int]]) -> list[list[int]]:
@@ -168,53 +213,57 @@ def _merge(spans: list[list[int]]) -> list[list[int]]:
 Batches = Iterator[pa.RecordBatch]
 
 
+def _groups(batches: Batches, limit: int) -> Iterator[list[pa.RecordBatch]]:
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= limit:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
 def match_items(
     docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS,
     then: Callable[[Batches], Batches] | None = None, then_schema: str = "",
 ) -> DataFrame:
-    """One row per document row: doc_id, text, n_words, n_hit, items (sorted item ids as text), spans (merged word
-    ranges inside occurrences).
+    """One row per document row: doc_id, text, items (sorted item ids as text), spans (merged word ranges inside
+    occurrences).
 
     A null or empty text has no words and no hits; an item without words matches nothing; a null item_id counts as the
-    empty id; items with the same id are one. Repeated document rows each get their row. Other columns are left out.
-    ``then`` is applied to the rows by the workers that matched the last block, and gives ``then_schema``.
+    empty id; items with the same id are one. Repeated document rows each get their row. A very long text is streamed
+    whole, in time linear in its words but for the hits it holds. Other columns are left out. One Python worker per task
+    passes its rows through all automata in turn, of which it holds one; with several, rows wait in groups of
+    ``GROUP_BYTES``, so that an automaton is read once a group. ``then`` is applied to the rows by the same workers, and
+    gives ``then_schema``.
     """
-    spark = docs.sparkSession
     id_type = dict(docs.dtypes)["doc_id"]
-    state = docs.select(
-        "doc_id", F.col("text").cast("string").alias("text"),
-        F.expr("cast(array() as array<string>)").alias("items"), F.expr("cast(array() as array<array<int>>)").alias("spans"),
-    )
-    schema = f"doc_id {id_type}, text string, items array<string>, spans array<array<int>>"
-    fields = pa.list_(pa.string()), pa.list_(pa.list_(pa.int32()))
-
-    def matcher(block: list[tuple[str, list[bytes]]]) -> Callable[[Batches], Batches]:
-        shared = spark.sparkContext.broadcast(Automaton(block, window))
-
-        def stream(batches: Batches) -> Batches:
-            automaton = shared.value
-            for batch in batches:
-                items, spans = batch.column("items").to_pylist(), batch.column("spans").to_pylist()
-                for k, text in enumerate(batch.column("text").cast(pa.binary())):
-                    ranges, seen = automaton.match(words(text.as_py()))
-                    if seen:
-                        items[k] = sorted({*items[k], *seen})
-                        spans[k] = _merge(spans[k] + ranges)
+    paths = write_automata(benchmark, window, block_words)
+    limit = GROUP_BYTES if len(paths) > 1 else 0
+
+    def match(batches: Batches) -> Batches:
+        for group in _groups(batches, limit):
+            spans: list[list[list[list[int]]]] = [[[] for _ in range(b.num_rows)] for b in group]
+            items: list[list[set[str]]] = [[set() for _ in range(b.num_rows)] for b in group]
+            for path in paths:
+                automaton = _load(path)
+                for at, batch in enumerate(group):
+                    for k, text in enumerate(batch.column("text").cast(pa.binary())):
+                        ranges, seen = automaton.match(words(text.as_py()))
+                        if seen:
+                            items[at][k] |= seen
+                            spans[at][k] = _merge(spans[at][k] + ranges)
+            for at, batch in enumerate(group):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("text"), pa.array(items, fields[0]), pa.array(spans, fields[1])],
+                    [batch.column("doc_id"), batch.column("text"), pa.array(map(sorted, items[at]), pa.list_(pa.string())), pa.array(spans[at], pa.list_(pa.list_(pa.int32())))],
                     ["doc_id", "text", "items", "spans"],
                 )
 
-        return stream
-
-    last = None
-    for block in item_blocks(benchmark, window, block_words):
-        if last is not None:
-            state = map_arrow(state, last, schema)
-        last = matcher(block)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     if then is None:
-        return state if last is None else map_arrow(state, last, schema)
-    return map_arrow(state, then if last is None else lambda batches: then(last(batches)), then_schema)
+        return map_arrow(rows, match, f"doc_id {id_type}, text string, items array<string>, spans array<array<int>>")
+    return map_arrow(rows, lambda batches: then(match(batches)), then_schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_words: int = BLOCK_WORDS) -> DataFrame:

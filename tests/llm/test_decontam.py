@@ -59,3 +59,24 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(1, "a b", None, None, None)], DOC)
     assert [tuple(r)[:4] for r in decontam.report(one, bench).collect()] == [(1, 2, 0, 0)]
     assert decontam.remove_matches(one, bench).count() == 1
+
+
+def test_one_worker_per_task_whatever_the_blocks(spark):
+    bench = spark.createDataFrame([(k, " ".join(f"w{k}x{j}" for j in range(30))) for k in range(20)], "item_id long, text string")
+    assert len(decontam.write_automata(bench, 10, 50)) > 5
+    docs = spark.createDataFrame([(k, " ".join(f"w{k}x{j}" for j in range(25)), None, None, None) for k in range(20)], DOC)
+    out = decontam.report(docs, bench, 10, 50)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert {(r["n_words"], r["n_hit"], r["n_items"]) for r in out.collect()} == {(25, 25, 1)}
+
+
+def test_groups_of_batches_and_a_very_long_text(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "GROUP_BYTES", 1)
+    item = " ".join(f"k{j}" for j in range(12))
+    long = "pad word " * 200_000 + item + " tail" * 100_000
+    rows = [(1, long, None, None, None), (1, long, None, None, None), (2, "pad", None, None, None)]
+    bench = spark.createDataFrame([(1, item), (None, "other words here"), (None, "tail tail tail tail")], "item_id long, text string")
+    for block in (200_000, 3):
+        got = sorted(tuple(r)[:4] for r in decontam.report(spark.createDataFrame(rows, DOC), bench, 10, block).collect())
+        assert got == [(1, 500_012, 100_012, 2), (1, 500_012, 100_012, 2), (2, 1, 0, 0)]
