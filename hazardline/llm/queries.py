@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from hazardline.llm import bpe, decontam, feistel, imatch, langid, linedup, mil, neardup, pack, repair, runs, shard, warc
 from hazardline.llm.common import table
 
+#: Byte limit of the registered shards: a read of a few thousand documents, which tables of a few MB already split on.
+SHARD_BYTES = 1 << 20
+
 Query = tuple[Callable[[SparkSession, str], DataFrame], str | None]
 
 
@@ -44,8 +47,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in shards of at most 64 MiB of text."""
-    return shard.assign(table(spark, sf_dir, "documents"))
+    """All documents in shards of at most 1 MiB of text."""
+    return shard.assign(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +88,7 @@ CORPUS_QUERIES: dict[str, Query] = {
     "op4_pseudonyms": (op4_pseudonyms, None),
     "op5_language": (op5_language, None),
     "op6_token_counts": (op6_token_counts, None),
-    "op7_shards": (op7_shards, shard.assign_sql()),
+    "op7_shards": (op7_shards, shard.assign_sql(SHARD_BYTES)),
     "op8_pack": (op8_pack, None),
     "op9_line_dedup": (op9_line_dedup, linedup.REPORT_SQL),
     "op10_quality": (op10_quality, None),

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from hazardline.llm import linedup, shard
+from hazardline.llm.queries import SHARD_BYTES, op7_shards
 
 DOC = "doc_id long, text string, lang string, covered_ string, n_chars int"
 
@@ -53,6 +54,19 @@ def test_shards_against_sql(spark, against_sql, limit):
     assert frame.count() == again.count()
 
 
+def test_registered_shards_split(spark, against_sql):
+    folder = "/root/testdata/sf0.01"
+    got = op7_shards(spark, folder).cache()
+    against_sql(got, shard.assign_sql(SHARD_BYTES), documents=spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text"))
+    assert got.select("shard").distinct().count() > 2 and got.where(f"shard_bytes > {SHARD_BYTES}").isEmpty()
+
+
+def test_shards_of_one_text_over_the_limit(spark):
+    rows = [(1, "x" * 3_000_000, None, None, None), (2, "y" * 900, None, None, None), (3, "z" * 900, None, None, None)]
+    got = {r["doc_id"]: r for r in shard.assign(spark.createDataFrame(rows, DOC), 2_000).collect()}
+    assert got[1]["oversize"] and got[1]["shard_bytes"] == 3_000_000 and got[2]["shard_bytes"] <= 1_800 and not got[2]["oversize"]
+
+
 def test_shards_open_more_bits(spark, monkeypatch):
     monkeypatch.setattr(shard, "AHEAD", 1)
     docs = spark.createDataFrame(random_docs(4), DOC)
