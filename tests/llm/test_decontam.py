@@ -80,3 +80,10 @@ def test_groups_of_batches_and_a_very_long_text(spark, monkeypatch):
     for block in (200_000, 3):
         got = sorted(tuple(r)[:4] for r in decontam.report(spark.createDataFrame(rows, DOC), bench, 10, block).collect())
         assert got == [(1, 500_012, 100_012, 2), (1, 500_012, 100_012, 2), (2, 1, 0, 0)]
+
+
+def test_registered_query_against_sql(spark, against_sql):
+    folder = "/root/testdata/sf0.001"
+    tables = {name: spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "benchmark")}
+    against_sql(decontam.report(tables["documents"], tables["benchmark"]), decontam.REPORT_SQL, **tables)
+    against_sql(decontam.report(tables["documents"], tables["benchmark"], block_words=500), decontam.REPORT_SQL, **tables)

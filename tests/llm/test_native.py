@@ -107,3 +107,27 @@ def test_permutation_is_one_to_one(spark):
     out = pairs.select(feistel.permute(F.col("x"), "k", "date").alias("y"), "x")
     assert out.select("y").distinct().count() == 189 * 773
     assert out.where("x = y").count() < 20
+
+
+def test_permutation_against_plain_rounds(spark):
+    def plain(values, key, kind):
+        state = list(values)
+        for number in range(feistel.ROUNDS):
+            text = ",".join(str(v) for i, (v, _) in enumerate(state) if i % 2 == number % 2)
+            after = []
+            for i, (v, radix) in enumerate(state):
+                if i % 2 != number % 2:
+                    seen = "|".join([key, kind, str(len(state)), str(number), str(i), text])
+                    v = (v + int(hashlib.sha256(seen.encode()).hexdigest()[:12], 16)) % radix
+                after.append((v, radix))
+            state = after
+        return [v for v, _ in state]
+
+    rng = random.Random(8)
+    rows = [(k, [(rng.randrange(r), r) for r in rng.choices([2, 10, 26, 256], k=k % 9)]) for k in range(60)]
+    df = spark.createDataFrame(rows, "k int, a array<struct<v int, r int>>")
+    there = feistel.permute(F.col("a"), "secret", "number")
+    out = df.select("k", "a", there.alias("p")).withColumn("back", feistel.permute(F.col("p"), "secret", "number", -1))
+    for row in out.collect():
+        assert [x["v"] for x in row["p"]] == plain(rows[row["k"]][1], "secret", "number")
+        assert row["back"] == row["a"]
