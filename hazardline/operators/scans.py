@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 PIECE = 2_000_000  # a key up to this many rows is one window group; a larger one is cut into pieces of about half as many
 SAMPLED = 32  # sampled rows a cut point stands for
 SHORT = 128  # leading characters of a text that decide on its piece
+FAN = 8  # parts into which a step of the search for a row's piece divides the cut points that are left
 
 
 @dataclass(frozen=True)
@@ -141,7 +142,7 @@ def _cut_key(df: DataFrame, order: Sequence[str]) -> Column:
 
 
 def _cut_points(df: DataFrame, keys: Sequence[str], place: Column, hot: DataFrame, floor: int) -> DataFrame:
-    """Per large key (as ``_k0`` …) its sorted cut points ``_cuts``, and every ``_block``-th of them as ``_coarse``.
+    """Per large key (as ``_k0`` …) its sorted cut points ``_cuts``.
 
     Each stands for about ``floor / 2`` rows, so there are two for each ``floor`` rows of the table at most.
     """
@@ -151,9 +152,35 @@ def _cut_points(df: DataFrame, keys: Sequence[str], place: Column, hot: DataFram
     drawn = df.where(F.rand(17) < rate).join(F.broadcast(large), _same_keys(df, large, keys)).select(*ids, place.alias("_at"))
     ranked = drawn.withColumn("_r", F.row_number().over(Window.partitionBy(*ids).orderBy("_at")))
     cuts = ranked.where(F.col("_r") % SAMPLED == 0).groupBy(*ids).agg(F.array_sort(F.array_distinct(F.collect_list("_at"))).alias("_cuts"))
-    fixed = df.sparkSession.createDataFrame(cuts.collect(), cuts.schema)  # drawn once: every use sees the same points
-    block = F.ceil(F.sqrt(F.size("_cuts"))).cast("int")
-    return fixed.withColumn("_block", block).withColumn("_coarse", F.filter("_cuts", lambda c, i: (i + 1) % F.col("_block") == 0))
+    return df.sparkSession.createDataFrame(cuts.toArrow(), cuts.schema)  # drawn once: every use sees the same points
+
+
+def _numbered_pieces(df: DataFrame, keys: Sequence[str], place: Column, cuts: DataFrame) -> DataFrame:
+    """``df`` with the number of the piece a row is in, ``_seg``: the cut points of its key up to the row. ``_cut``: whether there are any.
+
+    The cut points are a search tree. A step compares a row with the ``FAN - 1`` points that divide those left to it, so a
+    row's work grows with the logarithm of the number of cut points, and a row never carries more than these few.
+    """
+    ids = [f"_k{i}" for i in range(len(keys))]
+    points = cuts.select(*ids, F.posexplode("_cuts").alias("_i", "_seg_point")).withColumn("_i", F.col("_i") + 1)
+    most = cuts.agg(F.max(F.size("_cuts"))).first()[0] or 0
+    large = cuts.select(*ids, F.lit(True).alias("_seg_large"))
+    out = df.withColumn("_seg_at", place).join(F.broadcast(large), _same_keys(df, large, keys), "left").drop(*ids)
+    out = out.withColumns({"_cut": F.col("_seg_large").isNotNull(), "_seg": F.lit(0)}).drop("_seg_large")
+    stride = 1
+    while stride * FAN <= most:
+        stride *= FAN
+    while stride:
+        # a node holds every stride-th point after those before it, which the steps above have passed
+        held = points.where((F.col("_i") % stride == 0) & (F.col("_i") % (stride * FAN) != 0))
+        base = F.floor(F.col("_i") / (stride * FAN)).cast("int") * (stride * FAN)
+        nodes = held.groupBy(*ids, base.alias("_seg_base")).agg(F.collect_list("_seg_point").alias("_seg_points"))
+        met = _same_keys(out, nodes, keys) & (out["_seg"] == nodes["_seg_base"]) & out["_cut"]
+        passed = [F.when(F.get("_seg_points", F.lit(j)) <= F.col("_seg_at"), stride).otherwise(0) for j in range(FAN - 1)]
+        out = out.join(F.broadcast(nodes), met, "left").withColumn("_seg", reduce(lambda a, b: a + b, passed, F.col("_seg")))
+        out = out.drop("_seg_points", "_seg_base", *ids)
+        stride //= FAN
+    return out.drop("_seg_at")
 
 
 def _windowed(step: Step, up, down, whole) -> Column:
@@ -207,12 +234,7 @@ def ordered_scan(
     place = _cut_key(df, order)
     cuts = _cut_points(df, keys, place, sizes.hot.select(*keys), sizes.floor)
     columns = df.columns
-    ids = [f"_k{i}" for i in range(len(keys))]
-    # two short searches instead of one over all cut points of the key
-    before = F.size(F.filter("_coarse", lambda c: c <= place)) * F.col("_block")
-    within = F.size(F.filter(F.slice("_cuts", before + 1, F.col("_block")), lambda c: c <= place))
-    cut = df.join(F.broadcast(cuts), _same_keys(df, cuts, keys), "left").withColumn("_cut", F.col("_cuts").isNotNull())
-    cut = cut.withColumn("_seg", F.when(F.col("_cut"), before + within).otherwise(0)).drop("_cuts", "_coarse", "_block", *ids)
+    cut = _numbered_pieces(df, keys, place, cuts)
     key = _order_key(order)
     part: dict[str, Column] = {"_rows": F.count(F.lit(1))}
     for name, s in outputs.items():

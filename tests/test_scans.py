@@ -106,3 +106,23 @@ def test_measured_once_and_handed_down(skewed, monkeypatch):
     assert collect(S.ordered_scan(skewed, ["k"], ["o", "tie"], STEPS, sizes=sizes)) == plain
     small = S.KeySizes(("k",), 5000, None)
     S.ordered_scan(skewed, ["k", "n"], ["o", "tie"], {"pos": S.position()}, sizes=small)
+
+
+def test_pieces_are_found_without_comparing_all_cut_points(spark):
+    """Several levels of the search, keys of unlike numbers of cut points, a null key, points equal to rows."""
+    of_key = {None: [5 * i for i in range(150)], "a": [3], "b": [7 * i + 1 for i in range(64)]}
+    cuts = spark.createDataFrame([(k, [(c,) for c in v]) for k, v in of_key.items()], "_k0 string, _cuts array<struct<o:int>>")
+    rows = spark.createDataFrame([(k, o) for k in (*of_key, "small") for o in range(-2, 760, 3)], "k string, o int")
+    out = S._numbered_pieces(rows, ["k"], F.struct("o"), cuts)
+    assert {"k", "o", "_cut", "_seg"} == set(out.columns)
+    for r in out.collect():
+        points = of_key.get(r["k"], [])
+        assert (r["_cut"], r["_seg"]) == (bool(points), sum(c <= r["o"] for c in points))
+
+
+def test_a_row_meets_a_few_cut_points_only(spark):
+    rows = spark.range(4000).select(F.col("id").alias("o"))
+    out = S.ordered_scan(rows, [], ["o"], {"pos": S.position()}, floor=20)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan  # no search through all points of the key
+    assert all(r["pos"] == r["o"] + 1 for r in out.collect())
