@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 PIECE = 2_000_000  # a key up to this many rows is one window group; a larger one is cut into pieces of about half as many
 SAMPLED = 32  # sampled rows a cut point stands for
 SHORT = 128  # leading characters of a text that decide on its piece
-FAN = 8  # parts into which a step of the search for a row's piece divides the cut points that are left
+FAN = 32  # parts, a power of two, into which a level of the search for a row's piece divides the cut points that are left
 
 
 @dataclass(frozen=True)
@@ -158,8 +158,9 @@ def _cut_points(df: DataFrame, keys: Sequence[str], place: Column, hot: DataFram
 def _numbered_pieces(df: DataFrame, keys: Sequence[str], place: Column, cuts: DataFrame) -> DataFrame:
     """``df`` with the number of the piece a row is in, ``_seg``: the cut points of its key up to the row. ``_cut``: whether there are any.
 
-    The cut points are a search tree. A step compares a row with the ``FAN - 1`` points that divide those left to it, so a
-    row's work grows with the logarithm of the number of cut points, and a row never carries more than these few.
+    The cut points are a search tree. At each level a row meets the ``FAN - 1`` points that divide those left to it and is
+    placed among them by halving, so its work grows with the logarithm of the number of cut points, and it never carries
+    more than these few. Every comparison is a projection of its own: as one expression the code would double at each.
     """
     ids = [f"_k{i}" for i in range(len(keys))]
     points = cuts.select(*ids, F.posexplode("_cuts").alias("_i", "_seg_point")).withColumn("_i", F.col("_i") + 1)
@@ -174,11 +175,15 @@ def _numbered_pieces(df: DataFrame, keys: Sequence[str], place: Column, cuts: Da
         # a node holds every stride-th point after those before it, which the steps above have passed
         held = points.where((F.col("_i") % stride == 0) & (F.col("_i") % (stride * FAN) != 0))
         base = F.floor(F.col("_i") / (stride * FAN)).cast("int") * (stride * FAN)
-        nodes = held.groupBy(*ids, base.alias("_seg_base")).agg(F.collect_list("_seg_point").alias("_seg_points"))
+        nodes = held.groupBy(*ids, base.alias("_seg_base")).agg(F.array_sort(F.collect_list("_seg_point")).alias("_seg_points"))
         met = _same_keys(out, nodes, keys) & (out["_seg"] == nodes["_seg_base"]) & out["_cut"]
-        passed = [F.when(F.get("_seg_points", F.lit(j)) <= F.col("_seg_at"), stride).otherwise(0) for j in range(FAN - 1)]
-        out = out.join(F.broadcast(nodes), met, "left").withColumn("_seg", reduce(lambda a, b: a + b, passed, F.col("_seg")))
-        out = out.drop("_seg_points", "_seg_base", *ids)
+        out = out.join(F.broadcast(nodes), met, "left").withColumn("_seg_in", F.lit(0))
+        half = FAN // 2
+        while half:
+            reached = F.get("_seg_points", F.col("_seg_in") + (half - 1)) <= F.col("_seg_at")
+            out = out.withColumn("_seg_in", F.col("_seg_in") + F.when(reached, half).otherwise(0))
+            half //= 2
+        out = out.withColumn("_seg", F.col("_seg") + F.col("_seg_in") * stride).drop("_seg_points", "_seg_base", "_seg_in", *ids)
         stride //= FAN
     return out.drop("_seg_at")
 
