@@ -36,6 +36,7 @@ MAX_STEPS = 25
 TIE_CHUNK = 4096  # tied deaths summed in one row; more are spread over rows
 TIE_SUMS = ("tl", "a1", "a2", "b0", "b1", "b2")
 HALVINGS = 20
+RANKS = 65_536  # ranked rows whose bits one task of the concordance counts
 HR_POINTS = 200
 # ----------------------------------------------------------------------------------------------
 
@@ -424,7 +425,9 @@ def concordance_counts(fit: CoxFit) -> dict[str, float]:
         return after.agg(F.sum(F.col(asks) * (F.col("_rest") - F.col("m") + same))).first()[0] or 0.0
 
     bits = F.sequence(F.lit(0), F.lit(max(int(rows).bit_length() - 1, 0)))
-    split = ranked.withColumn("bit", F.explode(bits))
+    # a row makes one of each bit, so few rows go to a task; neighbours stay together, which share groups
+    spread_out = ranked.repartitionByRange(rows // RANKS + 1, "_rank")
+    split = spread_out.withColumn("bit", F.explode(bits))
     shifted = F.expr("shiftright(_rank, bit)")
     one = (shifted % 2) == 1
     groups = split.groupBy("bit", F.expr("shiftright(_rank, bit + 1)").alias("lead"), "time").agg(

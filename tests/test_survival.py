@@ -143,6 +143,12 @@ def test_concordance_against_all_pairs(fit, cohort):
     assert [got[k] for k in ("concordant", "discordant", "tied_risk")] == list(want)
 
 
+def test_concordance_counts_bits_in_several_tasks(fit, monkeypatch):
+    whole = C.concordance_counts(fit)
+    monkeypatch.setattr(C, "RANKS", 16)
+    assert C.concordance_counts(fit) == whole
+
+
 def test_concordance_with_tied_scores(spark, df, cohort):
     only = C.cox_fit(df, "t", "e", ["arm"], ARM)
     t, e, x = cohort.t.to_numpy(), cohort.e.to_numpy(), cohort.x.to_numpy() * np.sign(only.beta[0])
