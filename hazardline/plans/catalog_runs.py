@@ -53,8 +53,10 @@ def read_registry_types(spark, folder):
         F.concat(F.lit("00"), F.col("o_custkey")).alias("code"), F.col("o_orderpriority").alias("text"),
     )
     where = f"{shared_folder(spark, 'export')}/export"
-    sized = rows.withColumn("_size", F.floor(F.log2(F.col("id") + 1)))  # each file holds about twice the one before
-    sized.repartitionByRange(6, "_size").sortWithinPartitions("id").drop("_size").write.option("header", True).option("escape", '"').csv(where)
+    # each file holds about twice the one before, up to a million rows
+    sized = rows.withColumns({"_size": F.floor(F.log2(F.col("id") + 1)), "_slice": F.floor(F.col("id") / 2**20)})
+    files = sized.repartitionByRange(6 + rows.count() // 2**20, "_size", "_slice")
+    files.sortWithinPartitions("id").drop("_size", "_slice").write.option("header", True).option("escape", '"').csv(where)
     out = registry.read_registry(spark, where)
     types = ",".join(t for c, t in out.dtypes if c != "row_seq")
     return out.withColumn("types", F.lit(types)).withColumn("row_seq", F.col("row_seq").cast("long"))

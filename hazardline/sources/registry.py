@@ -61,8 +61,9 @@ def read_registry(
     """The flat export as one wide table.
 
     Types are those of the schema; without one, those that fit all rows, at the cost of another read; lab markers then
-    stay text. A value that does not fit its type is an error. Quoted values may have line breaks, so one CSV file is one
-    task: large exports are better kept as many files, JSON lines or Parquet. ``row_seq`` numbers the rows from 0 in the
+    stay text. A value that does not fit its type is an error. CSV files are read in blocks where every line is a record, which
+    is tested first, at the cost of another read; with quoted line breaks (see :func:`lines_are_records`) one file is one task,
+    and large exports are better kept as many files, JSON lines or Parquet. ``row_seq`` numbers the rows from 0 in the
     order of the source (see :func:`in_source_order`), unless the export brings such a column itself or it is None.
     """
     options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "multiLine": True, "nullValue": ""}
@@ -72,6 +73,8 @@ def read_registry(
         out = (spark.read.schema(schema) if schema else spark.read).json(path)
     elif fmt == "csv":
         out = spark.read.options(**options).csv(path)
+        if lines_are_records(spark, path, sep):
+            out = spark.read.options(**options | {"multiLine": False}).schema(out.schema).csv(path)
         schema = schema or guess_schema(out, as_text)
     else:
         raise ValueError("fmt must be 'csv', 'json' or 'parquet'")
@@ -82,6 +85,18 @@ def read_registry(
     return apply_types(out, schema) if fmt == "csv" else out
 
 
+def lines_are_records(spark: SparkSession, path: str, sep: str = ",") -> bool:
+    """Whether every line of the CSV files is a record by itself: quotes only around whole values, closed on their line.
+
+    Also false, to be on the safe side, where there are blank lines or carriage returns, on which readers differ.
+    """
+    line, mark, other = F.col("value"), "\u0001", f"[^\u0001{re.escape(sep)}]"
+    bare = F.regexp_replace(line, '"[^"]*+"', mark)  # a doubled quote inside a value ends one pair and starts the next
+    odd = line.rlike(f"[\r{mark}]") | (F.trim(line) == "") | ~line.rlike(r"[^\x00-\x20]")
+    odd = odd | bare.contains('"') | bare.rlike(f"{other}{mark}|{mark}{other}")
+    return not spark.read.option("lineSep", "\n").text(path).select("value").where(odd).limit(1).count()
+
+
 def in_source_order(files: DataFrame, name: str = "row_seq") -> DataFrame:
     """``files``, a table just read from files, with its rows numbered from 0: by the path of the file, then by place in it.
 

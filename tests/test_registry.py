@@ -230,6 +230,30 @@ def test_order_over_blocks_of_one_file(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_a_file_of_plain_lines_is_read_in_blocks(spark, tmp_path):
+    """Quoted separators and quotes, empty values; every row once and in order. One block a file before."""
+    lines = [f'{i},"a ""{i}"", b",,"x",""' for i in range(3000)]
+    (tmp_path / "x.csv").write_text("id,t,e,q,n\n" + "\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        out = registry.read_registry(spark, f"{tmp_path}/x.csv")
+        got = sorted(map(tuple, out.select("row_seq", "id", "t", "e", "q", "n").collect()))
+        assert out.rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [(i, i, f'a "{i}", b', None, "x", None) for i in range(3000)]
+
+
+@pytest.mark.parametrize("text, records", [
+    ("a,b\n1,2\n", True), ('a,b\n"1","x, y"\n"""",""', True), ('a,b\n1,"x\ny"\n', False), ('a,b\n1,5" x\n', False), ('a,b\n"a",x"y,"open\nend",z"w\n', False),
+    ("a,b\r\n1,2\r\n", False), ("a,b\n\n1,2\n", False), ("a,b\n \t\n1,2\n", False), ('a,b\n1, "x"\n', False), ('a,b\n1,"x"y\n', False),
+])
+def test_lines_that_are_records(spark, tmp_path, text, records):
+    (tmp_path / "x.csv").write_bytes(text.encode())
+    assert registry.lines_are_records(spark, f"{tmp_path}/x.csv") is records
+
+
 def test_a_date_that_is_none_is_text(spark, tmp_path):
     (tmp_path / "d.csv").write_text("a,b\n2021-02-28,2021-02-28\n2021-02-30,2021-03-01\n")
     out = registry.read_registry(spark, str(tmp_path / "d.csv"))
