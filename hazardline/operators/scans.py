@@ -175,7 +175,7 @@ def _numbered_pieces(df: DataFrame, keys: Sequence[str], place: Column, cuts: Da
         # a node holds every stride-th point after those before it, which the steps above have passed
         held = points.where((F.col("_i") % stride == 0) & (F.col("_i") % (stride * FAN) != 0))
         base = F.floor(F.col("_i") / (stride * FAN)).cast("int") * (stride * FAN)
-        nodes = held.groupBy(*ids, base.alias("_seg_base")).agg(F.array_sort(F.collect_list("_seg_point")).alias("_seg_points"))
+        nodes = held.groupBy(*ids, base.alias("_seg_base")).agg(F.sort_array(F.collect_list("_seg_point")).alias("_seg_points"))
         met = _same_keys(out, nodes, keys) & (out["_seg"] == nodes["_seg_base"]) & out["_cut"]
         out = out.join(F.broadcast(nodes), met, "left").withColumn("_seg_in", F.lit(0))
         half = FAN // 2
