@@ -92,7 +92,7 @@ def _size_fits(one: Column, other: Column, percent: int) -> Column:
 
 
 def _signatures(docs: DataFrame, width: int, percent: int, trees: int) -> DataFrame:
-    """doc_id, t1, t2, ckey (of the set; null where empty), n, nodes, sketch for each row."""
+    """doc_id, t1, t2, ckey (of the set; null where empty), n, nodes (each once), sketch for each row."""
     id_type = dict(docs.dtypes)["doc_id"]
     keys, threshold = _TREE_KEYS[:trees], percent / 100
 
@@ -103,7 +103,7 @@ def _signatures(docs: DataFrame, width: int, percent: int, trees: int) -> DataFr
                 own = shingle_set(text.as_py(), width)
                 n.append(len(own))
                 key.append(_key(own) if len(own) else None)
-                nodes.append(choose(own, keys, threshold)[1].view(np.int64) if len(own) else [])
+                nodes.append(np.unique(choose(own, keys, threshold)[1]).view(np.int64) if len(own) else [])
                 sketch.append((own[:SKETCH] >> np.uint64(32)).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("t1"), batch.column("t2"), pa.array(key, pa.binary()), pa.array(n, pa.int64()), pa.array(nodes, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
@@ -139,7 +139,7 @@ class _Join:
         return source.join(reps, same).select("text", *wanted.columns)
 
     def sets(self, wanted: DataFrame) -> DataFrame:
-        """ckey, shingles of the classes in ``wanted`` (ckey)."""
+        """ckey, shingles of the classes in ``wanted`` (ckey), dealt by ckey, so that a join on it moves no set again."""
         width = self.width
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +148,7 @@ class _Join:
                 yield pa.RecordBatch.from_arrays([batch.column("ckey"), pa.array(found, pa.binary())], ["ckey", "shingles"])
 
         found = map_arrow(self.texts_of(wanted.select("ckey").distinct()), work, "ckey binary, shingles binary")
-        return cut(found.dropDuplicates(["ckey"]), "sets")
+        return found.dropDuplicates(["ckey"])
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b: class keys, each pair once) that reach the threshold."""
@@ -193,7 +193,7 @@ class _Join:
 
     def open_nodes(self, shared: DataFrame, roots: DataFrame) -> DataFrame:
         """``shared`` rows of nodes whose classes are not yet in one component, with each class's component."""
-        rooted = shared.join(roots.withColumnRenamed("node", "ckey"), "ckey", "left").withColumn("root", F.coalesce("root", "ckey"))
+        rooted = shared.select("node", "ckey", "n", "size").join(roots.withColumnRenamed("node", "ckey"), "ckey", "left").withColumn("root", F.coalesce("root", "ckey"))
         mixed = rooted.groupBy("node").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("node")
         return cut(rooted.join(mixed, "node"), "open")
 
@@ -226,7 +226,7 @@ class _Join:
         """Links between different components in nodes that stay large, enough of them to join what belongs together.
 
         Classes of a node's largest component are never compared with each other. Blocks are bounded by shingles; a task
-        holds two.
+        holds two, and compares the classes of a block outside that component with each other too.
         """
         percent = self.percent
         by_root = rows.groupBy("node", "root").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
@@ -237,11 +237,11 @@ class _Join:
         )
         draw = F.xxhash64("ckey")
         placed = rows.join(sized, "node").withColumn(
-            "block", F.when(F.col("root") == F.col("main"), F.pmod(draw, "n_main")).otherwise(F.col("n_main") + F.pmod(draw, "n_side"))
+            "block", F.when(F.col("root") == F.col("main"), F.pmod(draw, "n_main")).otherwise(F.col("n_main") + F.pmod(draw, "n_side")).cast("int")
         )
         side = F.col("block") >= F.col("n_main")
         last = F.col("n_main") + F.col("n_side") - 1
-        copies = placed.withColumn("with", F.explode(F.when(side, F.sequence(F.lit(0).cast("int"), last)).otherwise(F.sequence(F.col("n_main"), last))))
+        copies = placed.withColumn("with", F.explode(F.when(side, F.array_remove(F.sequence(F.lit(0).cast("int"), last), F.col("block"))).otherwise(F.sequence(F.col("n_main"), last))))
         tasks = copies.select("node", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"), "ckey", "root", side.alias("side"))
         full = tasks.join(self.sets(rows.select("ckey")), "ckey")
 
@@ -277,7 +277,7 @@ class _Join:
 
     def linked(self) -> DataFrame:
         """node, root: class keys of all classes that have a link."""
-        shared = self.shared(self.classes.select(F.explode("nodes").alias("node"), "ckey", "n").distinct())
+        shared = self.shared(self.classes.select(F.explode("nodes").alias("node"), "ckey", "n"))
         lead = F.col("lead.ckey")
         stars = shared.where((lead != F.col("ckey")) & _size_fits(F.col("n"), F.col("lead.n"), self.percent)).select(lead.alias("a"), F.col("ckey").alias("b")).distinct()
         found = self.links(stars)

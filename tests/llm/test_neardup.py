@@ -3,6 +3,7 @@ import random
 import pytest
 
 from hazardline.llm import neardup
+from hazardline.llm.common import cut
 from hazardline.llm.components import components
 
 DOC = "doc_id long, text string, lang string, component_id string"
@@ -76,3 +77,37 @@ def test_chain_of_links(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], DOC)
     assert neardup.near_duplicates(docs).count() == 0 and neardup.keep_one(docs).count() == 0
+
+
+def test_rows_are_dealt_out_once(spark, monkeypatch, capsys):
+    """Rows of nodes move for their nodes' sizes and for the join with them only; full sets go by their class and are not written."""
+    seen = {}
+
+    def spied(df, name):
+        df.explain()
+        seen.setdefault(name, []).append(capsys.readouterr().out.count("Exchange hashpartitioning("))
+        return cut(df, name)
+
+    monkeypatch.setattr(neardup, "cut", spied)
+    rows = [(1, "a b c d e f", None, None), (2, "a b c d e f g", None, None), (3, "x y z", None, None)]
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = [tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, DOC), 4, 70, levels=1).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert sorted(got) == [(1, 3, 1, True), (2, 4, 1, False), (3, 1, 3, True)]
+    assert seen["shared"] == [2] and "sets" not in seen
+
+
+def test_repeated_rows_give_one_set(spark):
+    rows = [(1, "a b c d e f", None, None)] * 3 + [(2, "a b c d e g", None, None)] * 2
+    join = neardup._Join(spark.createDataFrame(rows, DOC), 4, 80, 4, 64, 3)
+    assert join.classes.count() == 2 and join.sets(join.classes.select("ckey")).count() == 2
+
+
+def test_nodes_of_a_class_are_listed_once(spark):
+    text = " ".join(f"w{k}" for k in range(300))
+    docs = spark.createDataFrame([(1, text, None, None)], DOC)
+    (row,) = neardup._signatures(docs, 4, 80, 64).select("nodes").collect()
+    assert len(row["nodes"]) > 16 and len(set(row["nodes"])) == len(row["nodes"])
