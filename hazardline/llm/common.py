@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 from contextlib import contextmanager
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hazardline.session import shared_folder
 
@@ -51,10 +53,28 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(where)
 
 
-def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     return df.mapInArrow(work, schema)
 
 
+#: The one large thing that this worker holds from task to task.
+_HELD: dict[Hashable, Any] = {}
+
+
+def held(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept for the next task of this worker. What the worker held under another key goes first, so
+    a worker that passes from one step to the next never holds the large things of both."""
+    if key not in _HELD:
+        let_go()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def let_go() -> None:
+    """Drops what earlier tasks of this worker held."""
+    _HELD.clear()
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
     """UTF-8 bytes of a string column, without decoding."""
     return batch.column(column).cast(pa.binary()).to_pylist()

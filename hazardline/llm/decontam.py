@@ -12,13 +12,14 @@ import pickle
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardline.llm.common import WORD_BYTES, cut, map_arrow, texts
+from hazardline.llm.common import WORD_BYTES, cut, held, map_arrow, texts
 from hazardline.session import shared_folder
 
 #: Words of test items in one automaton. More items make more automata, each of which all documents pass in turn.
@@ -187,17 +188,10 @@ def write_automata(benchmark: DataFrame, window: int, block_words: int) -> list[
     return sorted(r["path"] for r in pieces.select("item", "piece", block).groupBy("block").applyInArrow(build, "path string").collect())
 
 
-#: The automaton that this worker read last.
-_LOADED: dict[str, Automaton] = {}
-
-
 def _load(path: str) -> Automaton:
-    if path not in _LOADED:
-        _LOADED.clear()
-        fs, name = FileSystem.from_uri(path)
-        with fs.open_input_stream(name, compression=None) as source:
-            _LOADED[path] = pickle.loads(source.read())
-    return _LOADED[path]
+    fs, name = FileSystem.from_uri(path)
+    with fs.open_input_stream(name, compression=None) as source:
+        return pickle.loads(source.read())
 
 
 def _merge(spans: list[list[int]]) -> list[list[int]]:
@@ -247,7 +241,7 @@ def match_items(
             spans: list[list[list[list[int]]]] = [[[] for _ in range(b.num_rows)] for b in group]
             items: list[list[set[str]]] = [[set() for _ in range(b.num_rows)] for b in group]
             for path in paths:
-                automaton = _load(path)
+                automaton = held(path, partial(_load, path))
                 for at, batch in enumerate(group):
                     for k, text in enumerate(batch.column("text").cast(pa.binary())):
                         ranges, seen = automaton.match(words(text.as_py()))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardline.llm.common import fold, map_arrow, sample_by_label
+from hazardline.llm.common import fold, let_go, map_arrow, sample_by_label
 
 #: Bytes of a passage; units of the encoder and of the attention.
 PASSAGE, UNITS, GATES = 480, 24, 12
@@ -168,6 +168,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         own = shared.value
         for batch in batches:
             s = [own.score(t.as_py()) for t in batch.column("text").cast(pa.binary())]
@@ -187,9 +188,19 @@ def score_held_out(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns; the model learns from ``labels`` outside fold 0
-    of 5. Texts are scored beside the other columns, so nothing is joined; null and empty texts are scored too. Each row is
-    decided by its own text, repeated rows alike. Without labels all rows stay; an empty table stays empty."""
+    of 5. A text goes to the workers once, beside the other columns, and rows come back as they went, so nothing is joined;
+    null and empty texts are scored too. Each row is decided by its own text, repeated rows alike. Without labels all rows
+    stay; an empty table stays empty."""
     model = train(docs, labels.where(fold(F.col("doc_id"), 5) != 0))
-    tucked = docs.select(F.struct(*(docs[c].alias(c) for c in docs.columns)).alias("doc_id"), docs["text"])
-    rated = score(tucked, model)
-    return rated.where("predicted = 1").select("doc_id.*")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    once = {"text"} if dict(docs.dtypes).get("text") == "string" else set()  # else it is scored as a string and kept as it was
+    rows = docs.select(F.struct(*(docs[c].alias(c) for c in docs.columns if c not in once)).alias("row"), docs["text"].cast("string").alias("text"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        own = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array([own.score(t.as_py()) >= GOOD for t in batch.column("text").cast(pa.binary())], pa.bool_()))
+
+    good = map_arrow(rows, work, rows.schema)
+    return good.select(*(F.col("text") if c in once else F.col("row").getField(c).alias(c) for c in docs.columns))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardline.llm.bpe import PRETOKEN, byte_letters
-from hazardline.llm.common import map_arrow
+from hazardline.llm.common import held, map_arrow
 
 #: Context sizes; powers of two, so that none of their windows is padded.
 TIERS = (1024, 512, 256, 128)
@@ -147,9 +147,6 @@ def groups_of(texts: Iterable[str | None], most: int) -> Iterator[list[str]]:
         yield held
 
 
-_ENCODERS: dict[int, Encoder] = {}
-
-
 class Packer:
     """Packs one task's documents. ``rows`` collects the pieces as tuples of document number and output fields."""
 
@@ -248,10 +245,8 @@ def pack(docs: DataFrame, vocabulary: str, tiers: tuple[int, ...] = TIERS, end_i
     end = array("I", [end_id]).tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hash(shared.value)
-        if key not in _ENCODERS:  # kept by a worker that serves several tasks
-            _ENCODERS[key] = Encoder(shared.value)
-        encoder, packer = _ENCODERS[key], Packer(TaskContext.get().partitionId(), tiers, step_tokens)
+        encoder = held(("encoder", hash(shared.value)), lambda: Encoder(shared.value))
+        packer = Packer(TaskContext.get().partitionId(), tiers, step_tokens)
         kind = None
 
         def made() -> pa.RecordBatch:

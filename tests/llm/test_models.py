@@ -1,10 +1,12 @@
 import random
+import uuid
 import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from hazardline.llm import langid, mil
+import corpus_pipeline
+from hazardline.llm import common, langid, mil
 
 DOC = "doc_id long, text string, lang string, score string"
 SOUNDS = {"en": "th er on an re he in ed nd ha".split(), "de": "ch sch ei ung en zu ver äu ß ge".split(), "fr": "eau é qu oi è ment aux ou le ç".split()}
@@ -87,3 +89,38 @@ def test_quality_without_labels_or_rows(spark):
     assert mil.score_held_out(docs, none).first()["score"] == 0.5
     assert mil.score_held_out(docs.limit(0), none).count() == 0
     assert mil.keep_good(docs.where(F.lit(False)), none).count() == 0
+
+
+def test_quality_stage_sends_texts_once_in_small_batches(spark, tmp_path, monkeypatch):
+    def noted(df, work, schema):
+        def measured(batches):
+            for batch in batches:
+                (tmp_path / f"{batch.nbytes}-{uuid.uuid4().hex}").touch()
+                yield from work(iter([batch]))
+
+        return df.mapInArrow(measured, schema)
+
+    monkeypatch.setattr(mil, "map_arrow", noted)
+    spark.createDataFrame([(1, 1, 0), (2, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.range(0, 4_000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some text "), 400).alias("text"), F.lit("en").alias("lang"))
+    out = corpus_pipeline.quality(spark, docs, str(tmp_path))
+    assert (out.dtypes, out.count()) == (docs.dtypes, 4_000)
+    sizes = [int(p.name.split("-")[0]) for p in tmp_path.glob("*-*")]
+    assert 16_000_000 < sum(sizes) < 17_000_000 and max(sizes) < 1.5 * common.BATCH_BYTES
+
+
+def test_quality_keeps_texts_of_other_types(spark):
+    docs = spark.createDataFrame([(1, 12), (2, None)], "doc_id long, text int")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    kept = mil.keep_good(docs, none)
+    assert kept.dtypes == docs.dtypes and sorted(kept.collect()) == [(1, 12), (2, None)]
+
+
+def test_worker_holds_one_large_thing():
+    common.let_go()
+    made = []
+    make = lambda name: common.held(name, lambda: made.append((name, list(common._HELD))) or name)
+    assert [make("a"), make("a"), make("b"), make("a")] == ["a", "a", "b", "a"]
+    assert made == [("a", []), ("b", []), ("a", [])] and list(common._HELD) == ["a"]
+    common.let_go()
+    assert not common._HELD
